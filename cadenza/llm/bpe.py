@@ -1,6 +1,6 @@
-"""Byte-level BPE by recursive queries of an in-process DuckDB, one per task.
+"""Byte-level BPE by recursive queries of an in-process DuckDB, one per worker.
 
-A task splits its texts into pre-token pieces, and encodes only pieces it has not
+A worker splits texts into pre-token pieces, and encodes only pieces it has not
 met: their token-position rows join the merge table, and each step of a recursive
 query contracts every piece's leftmost pair of least rank, until no pair is left.
 Ordered aggregation turns the final rows into ids, and ids back into bytes.
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 
 LONG = 400
 BLOCK_CHARS = 3_000_000
-MEMO = 200_000
+MEMO = 500_000
 
 #: A token-position row is one number: piece, position and id, in that order of significance.
 POS_BITS, ID_BITS = 12, 20
@@ -47,7 +47,7 @@ WITH RECURSIVE step(v, depth) AS (
     FROM step s JOIN best b ON (s.v >> 32) = b.piece WHERE ((s.v >> 20) & 4095) <> (b.key & 4095)
   )
 ), done AS (SELECT v >> 32 AS piece, max(depth) AS depth FROM step GROUP BY v >> 32)
-SELECT (s.v >> 32)::INTEGER AS piece, string_agg(s.v & 1048575, ',' ORDER BY s.v) AS ids, count(*) AS n, string_agg(t.hex, '' ORDER BY s.v) AS hex
+SELECT (s.v >> 32)::INTEGER AS piece, string_agg(t.txt, ',' ORDER BY s.v) AS ids, count(*) AS n, string_agg(t.hex, '' ORDER BY s.v) AS hex
 FROM step s JOIN done d ON (s.v >> 32) = d.piece AND s.depth = d.depth JOIN tokens t ON (s.v & 1048575) = t.id GROUP BY s.v >> 32 ORDER BY 1
 """
 
@@ -72,7 +72,7 @@ class Codec:
         left, right, merged = (np.array(x, np.int64) for x in zip(*merges, strict=True))
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
         given = pa.table({"pair": left << ID_BITS | right, "merged": merged})  # noqa: F841 (read by name)
-        tokens = pa.table({"id": pa.array(list(self.token), pa.int32()), "hex": [b.hex() for b in self.token.values()]})  # noqa: F841
+        tokens = pa.table({"id": pa.array(list(self.token), pa.int64()), "txt": list(map(str, self.token)), "hex": [b.hex() for b in self.token.values()]})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS FROM given; CREATE TABLE tokens AS FROM tokens")
 
     def learn(self, pieces: list[str]) -> None:
@@ -140,6 +140,12 @@ class Codec:
         return bytes.fromhex(self.db.execute("SELECT coalesce(string_agg(t.hex, '' ORDER BY g.pos), '') FROM given_ids g JOIN tokens t USING (id)").fetchone()[0])
 
 
+@functools.lru_cache(1)
+def codec_of(path: str, pattern: str) -> Codec:
+    """The codec of this worker process, kept from task to task with what it has met."""
+    return Codec(path, pattern)
+
+
 def groups(texts: list[str]):
     """Runs of texts of about BLOCK_CHARS code points."""
     at = total = 0
@@ -156,9 +162,8 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
     def run(batches):
-        codec = None
+        codec = codec_of(path, pattern)
         for batch in batches:
-            codec = codec or Codec(path, pattern)
             texts = [t or "" for t in batch.column(1).to_pylist()]
             for at, some in groups(texts):
                 found = codec.run(some)
@@ -180,9 +185,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id
     out = T.StructType([f for f in docs.schema.fields if f.name != ids_col]).add(ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches):
-        codec = None
+        codec = codec_of(path, pattern)
         for batch in batches:
-            codec = codec or Codec(path, pattern)
             texts = [t or "" for t in batch.column(at_text).to_pylist()]
             for at, some in groups(texts):
                 found = codec.run(some)
