@@ -29,14 +29,13 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .chunks import CHUNK, ids_of, pack, unpack
 from .textcore import U64, Texts, Words, mix
 from .workspace import Workspace, parallelism
 
-CHUNK = 4 << 20
 MOST_FAILURE = 0.98
 CLASSES = 48
 END, BEGIN = U64(0x1F83D9ABFB41BD6B), U64(0x5BE0CD19137E2179)
@@ -75,44 +74,9 @@ class Stream:
 
 
 KINDS = (CONTEXT, WORD, PAIR)
-PACKED = "chunk long, ids binary, sizes binary, held binary, texts binary, bytes long"
 
-
-def pack(docs: DataFrame) -> DataFrame:
-    """Chunks of whole texts of about CHUNK bytes (a longer text stands alone), compressed."""
-    schema = pa.schema([("chunk", pa.int64()), ("ids", pa.binary()), ("sizes", pa.binary()), ("held", pa.binary()), ("texts", pa.binary()), ("bytes", pa.int64())])
-
-    def run(batches):
-        task, number = TaskContext.get().partitionId(), 0
-        ids: list[int | None] = []
-        parts: list[bytes] = []
-        sizes: list[np.ndarray] = []
-        held = 0
-
-        def chunk():
-            own = np.array([(d is None, d or 0, held_out(d)) for d in ids], dtype=np.int64).reshape(-1, 3)
-            body = b"".join(parts)
-            row = [[task << 32 | number], [np.ascontiguousarray(own[:, :2]).tobytes()], [np.concatenate(sizes).tobytes()], [own[:, 2].astype(bool).tobytes()], [pa.compress(body, "zstd", asbytes=True)], [len(body)]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, schema.types, strict=True)], schema=schema)
-
-        for batch in batches:
-            for at, block in Texts.of(batch.column(1)).blocks(CHUNK // 4):
-                if ids and held + len(block.data) > CHUNK:
-                    yield chunk()
-                    ids, parts, sizes, held, number = [], [], [], 0, number + 1
-                ids += batch.column(0).slice(at, len(block)).to_pylist()
-                parts.append(block.data.tobytes())
-                sizes.append(np.diff(block.offsets))
-                held += len(block.data)
-        if ids:
-            yield chunk()
-
-    return docs.mapInArrow(run, PACKED)
-
-
-def unpack(texts: bytes, sizes: bytes, held: bytes, n_bytes: int) -> Stream:
-    data = np.frombuffer(pa.decompress(texts, decompressed_size=n_bytes, codec="zstd", asbytes=True), np.uint8) if n_bytes else np.zeros(0, np.uint8)
-    return Stream(Texts(data, np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))]).astype(np.int64)), np.frombuffer(held, bool))
+def stream_of(row: dict) -> Stream:
+    return Stream(unpack(row), np.array([held_out(d) for d in ids_of(row).to_pylist()], dtype=bool))
 
 
 def distinct(hashes: np.ndarray, train: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,8 +97,8 @@ def asked(packed: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for chunk, texts, sizes, held, n in zip(*(batch.column(c).to_pylist() for c in ("chunk", "texts", "sizes", "held", "bytes")), strict=True):
-                stream = unpack(texts, sizes, held, n)
+            for row in batch.to_pylist():
+                chunk, stream = row["chunk"], stream_of(row)
                 for kind in KINDS:
                     values, counts, _ = distinct(*stream.grams(kind))
                     edges = bucket_edges(values, buckets)
@@ -146,7 +110,7 @@ def asked(packed: DataFrame, buckets: int) -> DataFrame:
                             column.append(cell)
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, schema.types, strict=True)], schema=schema)
 
-    return packed.select("chunk", "texts", "sizes", "held", "bytes").mapInArrow(run, "chunk long, kind int, bucket int, high binary, low binary, counts binary")
+    return packed.mapInArrow(run, "chunk long, kind int, bucket int, high binary, low binary, counts binary")
 
 
 def answered(wanted: DataFrame) -> DataFrame:
@@ -200,22 +164,19 @@ def by_chunk(packed: DataFrame, answers: DataFrame, work, schema: str) -> DataFr
     return packed.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(work, schema)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
     """One row per document: held_out, counts, base_score and score; learned from the rows that are not held out."""
     spark = docs.sparkSession
     space = Workspace(spark, "lm")
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
-    packed = space.keep(pack(picked), "packed")
+    packed = space.keep(pack(picked, chunk), "packed")
     replies = space.keep(answered(asked(packed, 2 * parallelism(spark))), "answers")
     one = replies.filter((F.col("kind") == WORD) & F.col("types").isNotNull()).agg(F.sum("types"), F.sum("tokens")).first()  # two numbers
     v, n = int(one[0] or 0), int(one[1] or 0)
     answers = replies.filter("chunk is not null").select("chunk", "kind", "bucket", "counts", "size")
 
-    def stream_of(rows: pa.Table) -> Stream:
-        return unpack(*(rows.column(c)[0].as_py() for c in ("texts", "sizes", "held", "bytes")))
-
     def classes(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        stream = stream_of(rows)
+        stream = stream_of(rows.to_pylist()[0])
         context, _, pair = totals(stream, answers)
         some = stream.train & (context > 0)
         kind = size_class(context[some])
@@ -230,12 +191,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def traverse(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        stream = stream_of(rows)
+        row = rows.to_pylist()[0]
+        stream = stream_of(row)
         context, word, pair = totals(stream, answers)
         size = len(stream.first) - 1
         add = lambda x: np.bincount(stream.doc, x, size)  # noqa: E731  in the order of the tokens
-        null, doc = np.frombuffer(rows.column("ids")[0].as_py(), np.int64).reshape(-1, 2).T
-        columns = [pa.array(doc, pa.int64(), mask=null.astype(bool)), np.frombuffer(rows.column("held")[0].as_py(), bool), np.diff(stream.first), add(word > 0).astype(np.int64), np.full(size, n), add(np.log10((word + 1) / (n + v + 1))), add(arcs(context, word, pair, failure, n, v))]
+        columns = [ids_of(row), [held_out(d) for d in ids_of(row).to_pylist()], np.diff(stream.first), add(word > 0).astype(np.int64), np.full(size, n), add(np.log10((word + 1) / (n + v + 1))), add(arcs(context, word, pair, failure, n, v))]
         return pa.table([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
 
     return by_chunk(packed, answers, traverse, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")

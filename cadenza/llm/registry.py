@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, lm, media, mixing, ngram_join, pii, quality
+from . import bpe, fingerprint, lm, media, mixing, ngram_join, pii, quality, substring
 from .workspace import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -19,6 +19,10 @@ def text_crc_mod(column: str, m: int):
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % m
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"))
+
+
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
 

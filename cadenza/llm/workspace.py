@@ -30,6 +30,15 @@ class Workspace:
 
     def keep(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` once and read it back from the shared folder."""
+        clean = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        before = self.spark.conf.get(clean, "false")
+        self.spark.conf.set(clean, "true")  # the shuffle files of this write are of no further use
+        try:
+            return self._write(df, name, partition_by)
+        finally:
+            self.spark.conf.set(clean, before)
+
+    def _write(self, df: DataFrame, name: str, partition_by: str | None) -> DataFrame:
         writer = df.write.mode("error")
         if partition_by:
             writer = writer.partitionBy(partition_by)
