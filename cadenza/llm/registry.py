@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, lm, media, mixing, ngram_join, pii, quality, substring
+from . import bpe, fingerprint, licenses, lm, media, mixing, ngram_join, pii, quality, substring
 from .workspace import table
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
@@ -50,6 +51,10 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(licenses.document_paths(table(spark, sf_dir, "documents")))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
@@ -59,8 +64,11 @@ def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
+    own = {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
+    return own | {"pipeline": importlib.import_module("corpus_pipeline").run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_mixing": mixing.replicate_sql("documents", "*")}
+    out = {"op5_mixing": mixing.replicate_sql("documents", "*"), "op8_licenses": licenses.scan_sql()}
+    pipeline = importlib.import_module("corpus_pipeline").ORACLE_SQL
+    return out | ({"pipeline": pipeline} if pipeline else {})
