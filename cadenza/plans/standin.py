@@ -36,8 +36,15 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames(spark, sf_dir).select("clip_id").distinct().withColumn("fps", F.lit(FPS))
 
 
+_analysed: dict[tuple[str, str], DataFrame] = {}
+
+
 def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pose.analyse(frames(spark, sf_dir), clips(spark, sf_dir), contact=CONTACT)
+    """Analysed frames; computed once for a session and table, as many queries start from them."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _analysed:
+        _analysed[key] = pose.analyse(frames(spark, sf_dir), clips(spark, sf_dir), contact=CONTACT).persist()
+    return _analysed[key]
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
