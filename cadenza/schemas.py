@@ -1,25 +1,20 @@
-"""Types of the tables that the engine passes on."""
+"""Types of the tables that the engine passes on, as DDL."""
 
-from pyspark.sql import types as T
-
-XY = T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())])
-XYC = T.StructType([*XY.fields, T.StructField("c", T.DoubleType())])
 LIMBS = ("lh", "rh", "lf", "rf")
-CONTACTS = T.StructType([T.StructField(k, T.BooleanType()) for k in LIMBS])
 STATES = ("4pt", "3pt", "2pt", "1pt", "idle")
 
-POSE_FRAMES = T._parse_datatype_string("clip_id string, i int, t double, track_id int, bbox array<double>, kpts array<struct<x:double,y:double,c:double>>")
-ANALYSIS_FRAMES = T._parse_datatype_string(
+POSE_FRAMES = "clip_id string, i int, t double, track_id int, bbox array<double>, kpts array<struct<x:double,y:double,c:double>>"
+ANALYSIS_FRAMES = (
     "clip_id string, i int, t double, kpts array<struct<x:double,y:double>>, angles map<string,double>, com struct<x:double,y:double>, com_vel double, "
     "contacts struct<lh:boolean,rh:boolean,lf:boolean,rf:boolean>, n int, state string, st_t0 double, bd double, margin double, inside boolean, climbing boolean"
 )
-TRANSFER_EVENTS = T._parse_datatype_string("clip_id string, t0 double, t1 double, dur double, moved array<string>, dx double, dy double, disp double, s0 string, s1 string")
-TECH_PHASES = T._parse_datatype_string("clip_id string, name string, t0 double, t1 double, side string, conf double")
-TECH_EVENTS = T._parse_datatype_string("clip_id string, name string, t double, side string, conf double")
-WORDS = T._parse_datatype_string("clip_id string, pos int, word string, start double, end double")
-CAPTIONS = T._parse_datatype_string("clip_id string, k int, start double, end double, text string, terms array<struct<term:string,off:int>>")
-SENTENCES = T._parse_datatype_string("clip_id string, k int, text string, ts array<array<long>>")
-FIXES = T._parse_datatype_string("clip_id string, seq int, i int, text string")
+TRANSFER_EVENTS = "clip_id string, t0 double, t1 double, dur double, moved array<string>, dx double, dy double, disp double, s0 string, s1 string"
+TECH_PHASES = "clip_id string, name string, t0 double, t1 double, side string, conf double"
+TECH_EVENTS = "clip_id string, name string, t double, side string, conf double"
+WORDS = "clip_id string, pos int, word string, start double, end double"
+CAPTIONS = "clip_id string, k int, start double, end double, text string, terms array<struct<term:string,off:int>>"
+SENTENCES = "clip_id string, k int, text string, ts array<array<bigint>>"
+FIXES = "clip_id string, seq int, i int, text string"
 
 #: COCO-17 joint order (fixed values).
 JOINTS = ("nose", "leye", "reye", "lear", "rear", "lsho", "rsho", "lel", "rel", "lwr", "rwr", "lhip", "rhip", "lknee", "rknee", "lank", "rank")
