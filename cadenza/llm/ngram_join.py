@@ -16,10 +16,11 @@ in the next, where it may be the smaller partner.
   (prefix filter), so that no pair is lost.
 
 Documents of equal sets are one class from the start.  Documents that share a segment
-form a list; lists are resolved in rounds that verify, exactly, one pivot of a list
-against all members outside its component, and finally all pairs of what is left in
-different components: links inside a component need no check, and no group is
-expanded into all its pairs.
+form a list.  First one pivot of each list is verified, exactly, against the others.  What
+is then left of a list in more than one component is dealt in blocks of at most CROWD
+documents; a pair of blocks that have a list in common is one task, which counts shared
+segments by array operations and verifies only pairs of different components that share
+as many as they need.  Links inside a component need no check, and no pair is ever a row.
 
 Rules for odd input: a null or empty text, or one without words, has the empty set and
 its own id as component; fewer words than five are one shingle; repeated rows are equal
@@ -30,7 +31,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -40,9 +41,10 @@ from .workspace import Workspace, parallelism
 SHINGLE, SHARE = 5, 80
 SPREAD = 1.25  # segments of a band: this times its H, and two more
 GROUPS = 8  # parts of a band's segments, for dealing
-PIVOT_ROUNDS = 3
 OWN, NEXT, PREFIX = 0, 1, 2
 BLOCK = 2 << 20
+STEPS = 2
+CROWD = 512  # documents of a block, in which what pivots leave is compared
 
 
 def bands(largest: int) -> np.ndarray:
@@ -182,7 +184,7 @@ def index(docs: DataFrame, buckets: int) -> DataFrame:
 
 def shared_lists(packed: DataFrame) -> DataFrame:
     """Within each bucket: sets that have a signature in common with others, by the list of those sets."""
-    schema = pa.schema([("list", pa.int64()), ("key", pa.int64()), ("kind", pa.int32()), ("segments", pa.int64())])
+    schema = pa.schema([("list", pa.int64()), ("key", pa.int64()), ("kind", pa.int32()), ("segments", pa.int64()), ("many", pa.int64())])
 
     def run(rows: pa.Table) -> pa.Table:
         sigs, keys, kinds = [], [], []
@@ -207,17 +209,18 @@ def shared_lists(packed: DataFrame) -> DataFrame:
         sig, key, kind = sig[new], key[new], kind[new]
         heads = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
         many = np.diff(np.append(heads, len(sig)))
-        names = mix(np.add.reduceat(mix(key.view(U64)), heads)) if len(heads) else np.zeros(0, U64)
+        names = mix(np.add.reduceat(mix(key.view(U64) + mix(kind.astype(U64) + U64(11))), heads)) if len(heads) else np.zeros(0, U64)
         names, many_of = np.repeat(names, many), np.repeat(many, many)
-        names, key, kind = names[many_of > 1], key[many_of > 1], kind[many_of > 1]
+        some = many_of > 1
+        names, key, kind, many_of = names[some], key[some], kind[some], many_of[some]
         order = np.lexsort((kind, key, names))
-        names, key, kind = names[order], key[order], kind[order]
+        names, key, kind, many_of = names[order], key[order], kind[order], many_of[order]
         new = np.ones(len(names), dtype=bool)
         new[1:] = (names[1:] != names[:-1]) | (key[1:] != key[:-1]) | (kind[1:] != kind[:-1])
         at = np.flatnonzero(new)
-        return pa.table([pa.array(names[at].view(np.int64)), pa.array(key[at]), pa.array(kind[at].astype(np.int32)), pa.array(np.diff(np.append(at, len(names))))], schema=schema)
+        return pa.table([pa.array(names[at].view(np.int64)), pa.array(key[at]), pa.array(kind[at].astype(np.int32)), pa.array(np.diff(np.append(at, len(names)))), pa.array(many_of[at])], schema=schema)
 
-    return packed.select("bucket", "keys", "high", "low", "owners").groupBy("bucket").applyInArrow(run, "list long, key long, kind int, segments long")
+    return packed.select("bucket", "keys", "high", "low", "owners").groupBy("bucket").applyInArrow(run, "list long, key long, kind int, segments long, many long")
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -251,6 +254,87 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long")
 
 
+def crowded(members: DataFrame, texts: DataFrame, space: Workspace) -> DataFrame:
+    """Links among documents that pivots left in different components.
+
+    ``members``: list, key, kind, segments, root, n, need_own, need_next, many (sets of the list), open (the list is
+    unresolved and the set keeps it).
+    """
+    per_key = members.groupBy("key").agg(
+        F.collect_list(F.struct("list", "kind", "segments")).alias("lists"), F.first("root").alias("root"), F.first("n").alias("n"), F.first("need_own").alias("need_own"), F.first("need_next").alias("need_next"),
+    )
+    # documents are dealt by the largest list within a few steps, so that those with lists in common meet in few blocks
+    spots = members.filter("open").select("list", "key", "many")
+    near = spots.groupBy("key").agg(F.max(F.struct("many", "list")).alias("near"))
+    for step in range(STEPS):
+        best = spots.join(near, "key").groupBy("list").agg(F.max("near").alias("best"))
+        near = space.keep(spots.join(best, "list").groupBy("key").agg(F.max("best").alias("near")), f"near-{step}")
+    per_key = per_key.join(near.select("key", F.col("near.list").alias("near")), "key")
+    size = per_key.groupBy("near").agg(F.ceil(F.count("*") / CROWD).alias("salts"))
+    placed = per_key.join(size, "near").withColumn("block", F.xxhash64("near", F.pmod(F.col("key"), F.col("salts")))).drop("near", "salts")
+    placed = space.keep(placed, "placed")
+    spots = spots.join(placed.select("key", "block"), "key").select("list", "block").distinct()
+    other = spots.select("list", F.col("block").alias("b2"))
+    tasks = spots.withColumnRenamed("block", "b1").join(other, "list").filter("b1 <= b2").select("b1", "b2").distinct()
+    sides = tasks.select("b1", "b2", F.explode(F.when(F.col("b1") == F.col("b2"), F.array(F.struct(F.lit(0).alias("side"), F.col("b1").alias("block")))).otherwise(F.array(F.struct(F.lit(0).alias("side"), F.col("b1").alias("block")), F.struct(F.lit(1).alias("side"), F.col("b2").alias("block"))))).alias("s")).select("b1", "b2", "s.side", "s.block")
+    rows = sides.join(placed.join(texts, "key"), "block").drop("block")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table.column("side").to_numpy()
+        key, n, root, own, nxt = (table.column(c).to_numpy() for c in ("key", "n", "root", "need_own", "need_next"))
+        need = np.stack([own, nxt, np.ones_like(own)])
+        lists = table.column("lists").combine_chunks()
+        owner = np.repeat(np.arange(len(key)), np.diff(lists.offsets.to_numpy()))
+        flat = lists.flatten()
+        name, kind, segments = (flat.field(i).to_numpy() for i in range(3))
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == side.max())
+        within = side.max() == 0
+        left, right = np.full(len(key), -1), np.full(len(key), -1)
+        left[one], right[two] = np.arange(len(one)), np.arange(len(two))
+        wanted = np.zeros((len(one), len(two)), dtype=bool)
+        order = np.argsort(name, kind="stable")
+        name, kind, segments, owner = name[order], kind[order], segments[order], owner[order]
+        edges = np.flatnonzero(np.concatenate([[True], name[1:] != name[:-1], [True]]))
+        shared: dict[tuple[int, int], np.ndarray] = {}
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if hi - lo < 2:
+                continue
+            for ka in np.unique(kind[lo:hi]):
+                a = owner[lo:hi][(kind[lo:hi] == ka) & (left[owner[lo:hi]] >= 0)]
+                for kb in np.unique(kind[lo:hi]):
+                    b = owner[lo:hi][(kind[lo:hi] == kb) & (right[owner[lo:hi]] >= 0)]
+                    if len(a) and len(b):
+                        if (ka, kb) not in shared:
+                            shared[ka, kb] = np.zeros(wanted.shape, dtype=np.int32)
+                        shared[ka, kb][np.ix_(left[a], right[b])] += int(segments[lo])
+        for (ka, kb), count in shared.items():
+            wanted |= count >= np.maximum(need[ka][one][:, None], need[kb][two][None, :])
+        sizes = np.minimum(n[one][:, None], n[two][None, :]) * 100 >= np.maximum(n[one][:, None], n[two][None, :]) * SHARE
+        wanted &= sizes & (root[one][:, None] != root[two][None, :])
+        if within:
+            wanted &= np.arange(len(one))[:, None] < np.arange(len(two))[None, :]
+        i, j = np.nonzero(wanted)
+        if not len(i):
+            return schema.empty_table()
+        used = np.unique(np.concatenate([one[i], two[j]]))
+        sets: dict[int, np.ndarray] = {}
+        for at, block in Texts.of(table.column("text").take(pa.array(used))).blocks(BLOCK):
+            hashes, first = shingles(block)
+            sets |= {int(used[at + k]): hashes[first[k] : first[k + 1]] for k in range(len(block))}
+        found = []
+        for x, y in zip(one[i].tolist(), two[j].tolist(), strict=True):
+            s, t = sets[x], sets[y]
+            if len(s) > len(t):
+                s, t = t, s
+            both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+            if 100 * both >= SHARE * (len(s) + len(t) - both):
+                found.append((key[x], key[y]))
+        return pa.table([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], schema=schema)
+
+    return rows.groupBy("b1", "b2").applyInArrow(run, "a long, b long")
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles and component_id (the least id it reaches by links)."""
     spark = docs.sparkSession
@@ -259,54 +343,35 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     indexed = space.keep(index(picked, 2 * parallelism(spark)), "index")
     rows = indexed.filter("bucket is null").select("doc_id", "n", "key", "need_own", "need_next")
     classes = space.keep(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("need_own").alias("need_own"), F.first("need_next").alias("need_next")), "classes")
-    raw = space.keep(shared_lists(indexed.filter("bucket is not null")), "raw")
+    raw = shared_lists(indexed.filter("bucket is not null"))
     need = F.when(F.col("kind") == OWN, F.col("need_own")).when(F.col("kind") == NEXT, F.col("need_next")).otherwise(F.lit(1))
-    enough = raw.groupBy("key", "kind").agg(F.sum("segments").alias("shared")).join(classes, "key").filter(F.col("shared") >= need).select("key", "kind", "n")
-    members = raw.join(enough, ["key", "kind"]).groupBy("list", "key").agg(F.first("n").alias("n"))
-    crowd = members.groupBy("list").agg(F.count("*").alias("many")).filter("many > 1").select("list")
-    lists = space.keep(members.join(crowd, "list"), "lists-0")
+    own = Window.partitionBy("key", "kind")
+    rare = own.orderBy("many", "list").rowsBetween(Window.unboundedPreceding, -1)
+    met = raw.join(classes.drop("rep"), "key").withColumn("need", need).withColumn("shared", F.sum("segments").over(own)).withColumn("rarer", F.coalesce(F.sum("segments").over(rare), F.lit(0)))
+    # of its shared segments a set can do without the need - 1 most frequent
+    met = met.filter("shared >= need").withColumn("kept", F.col("rarer") <= F.col("shared") - F.col("need"))
+    met = space.keep(met.select("list", "key", "kind", "segments", "n", "need_own", "need_next", "kept"), "met")
+    kept = met.filter("kept").select("list", "key", "n")
+    heads = kept.groupBy("list").agg(F.min(F.struct("key", "n")).alias("p"), F.count("*").alias("many")).filter("many > 1").select("list", "p")
+    sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * SHARE
+    lists = space.keep(kept.join(heads, "list"), "lists")
     wanted = lists.select("key").distinct().join(classes, "key").select("key", "rep")
-    texts = picked.join(wanted, picked["doc_id"] == wanted["rep"]).select("key", "text")
-    texts = space.keep(texts.dropDuplicates(["key"]), "texts")
-    roots, links, tested = None, None, None
-    round_ = 0
-    while lists.limit(1).count():
-        placed = lists
-        if roots is not None:
-            placed = lists.join(roots, lists["key"] == roots["node"], "left").select("list", "key", "n", F.coalesce("root", "key").alias("root"))
-        else:
-            placed = lists.withColumn("root", F.col("key"))
-        heads = placed.groupBy("list").agg(F.min(F.struct("key", "n", "root")).alias("p"), F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high").select("list", "p")
-        open_ = space.keep(placed.join(heads, "list").select("list", "key", "n", "root", "p"), f"open-{round_}")
-        sizes = lambda x, y: (F.least(x, y) * 100 >= F.greatest(x, y) * SHARE)
-        if round_ < PIVOT_ROUNDS:
-            pairs = open_.filter((F.col("root") != F.col("p.root")) & sizes(F.col("n"), F.col("p.n"))).select(F.col("p.key").alias("a"), F.col("key").alias("b"))
-        else:
-            left = open_.select("list", F.col("key").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-            right = open_.select("list", F.col("key").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-            pairs = left.join(right, "list").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & sizes(F.col("na"), F.col("nb"))).select("a", "b")
-        pairs = pairs.distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = space.keep(pairs, f"pairs-{round_}")
-        found = space.keep(verify(pairs, texts), f"links-{round_}")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        roots = components(links, space, f"roots-{round_}")
-        if round_ >= PIVOT_ROUNDS:
-            break
-        rest = open_.filter(F.col("key") != F.col("p.key")).select("list", "key", "n")
-        round_ += 1
-        lists = space.keep(rest, f"lists-{round_}")
-    classed = classes.select("key", "rep")
-    if roots is not None:
-        named = classed.join(roots, classed["key"] == roots["node"], "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
-        least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-        classed = named.join(least, "root").select("key", "component_id")
-    else:
-        classed = classed.select("key", F.col("rep").alias("component_id"))
-    own = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key"))
-    return own.join(classed, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    texts = space.keep(picked.join(wanted, picked["doc_id"] == wanted["rep"]).select("key", "text").dropDuplicates(["key"]), "texts")
+    pairs = space.keep(lists.filter((F.col("key") != F.col("p.key")) & sizes).select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
+    links = space.keep(verify(pairs, texts), "links-0")
+    roots = components(links, space, "roots-0")
+    placed = lists.select("list", "key").join(roots, lists["key"] == roots["node"], "left").select("list", F.coalesce("root", "key").alias("root"))
+    unresolved = placed.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many")).filter("low != high and many > 2").select("list", "many", F.lit(True).alias("unresolved"))
+    busy = lists.join(unresolved, "list").select("key").distinct()
+    members = met.join(busy, "key").join(unresolved, "list", "left").join(roots, F.col("key") == F.col("node"), "left")
+    members = space.keep(members.select("list", "key", "kind", "segments", F.coalesce("root", "key").alias("root"), "n", "need_own", "need_next", "many", (F.col("kept") & F.coalesce("unresolved", F.lit(False))).alias("open")), "members")
+    more = space.keep(crowded(members, texts, space), "links-1")
+    roots = components(links.unionByName(more), space, "roots-1")
+    named = classes.select("key", "rep").join(roots, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
+    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
+    classed = named.join(least, "root").select("key", "component_id")
+    own_rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key"))
+    return own_rows.join(classed, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
