@@ -27,8 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 
 LONG = 400
-BLOCK_CHARS = 3_000_000
-MEMO = 500_000
+BLOCK_CHARS = 2_000_000
+MEMO, SMALL_MEMO = 250_000, 60_000  # pieces of a generation; the one before is kept too, and what is met again moves on
 
 #: A token-position row is one number: piece, position and id, in that order of significance.
 POS_BITS, ID_BITS = 12, 20
@@ -61,16 +61,18 @@ def vocabulary(path: str) -> dict[bytes, int]:
 class Codec:
     """Encoder and decoder of one process: the merge table in DuckDB, and pieces met so far (a bounded memo)."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, most: int = MEMO):
+        self.most = most
         self.ranks = vocabulary(path)
         self.token = {i: b for b, i in self.ranks.items()}
         self.split = regex.compile(pattern).findall
         self.memo: dict[str, tuple[str, int, bytes]] = {}
+        self.before: dict[str, tuple[str, int, bytes]] = {}
         self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         ranks = self.ranks
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         left, right, merged = (np.array(x, np.int64) for x in zip(*merges, strict=True))
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "preserve_insertion_order": False})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "128MB", "preserve_insertion_order": False})
         given = pa.table({"pair": left << ID_BITS | right, "merged": merged})  # noqa: F841 (read by name)
         tokens = pa.table({"id": pa.array(list(self.token), pa.int64()), "txt": list(map(str, self.token)), "hex": [b.hex() for b in self.token.values()]})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS FROM given; CREATE TABLE tokens AS FROM tokens")
@@ -126,35 +128,40 @@ class Codec:
     def run(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
         """For each text its pieces' ids (as text), their number, and the bytes the ids decode to."""
         split = [self.split(t) for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        if new := set().union(*split).difference(self.memo):
+        if len(self.memo) > self.most:
+            self.before, self.memo = self.memo, {}
+        memo, before = self.memo, self.before
+        new = set().union(*split).difference(memo)
+        memo.update({p: before[p] for p in new.intersection(before)})
+        if new := new.difference(memo):
             self.learn(sorted(new))
-        memo = self.memo
         return [[memo[p] for p in pieces] for pieces in split]
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of ids in order, by ordered aggregation."""
         given = pa.table({"pos": pa.array(range(len(ids)), pa.int64()), "id": pa.array(ids, pa.int32())})
         self.db.register("given_ids", given)
-        return bytes.fromhex(self.db.execute("SELECT coalesce(string_agg(t.hex, '' ORDER BY g.pos), '') FROM given_ids g JOIN tokens t USING (id)").fetchone()[0])
+        return bytes.fromhex(self.db.execute("SELECT coalesce(string_agg(t.hex, '' ORDER BY g.pos), '') FROM given_ids g JOIN tokens t USING (id)").fetchall()[0][0])
 
 
 @functools.lru_cache(1)
-def codec_of(path: str, pattern: str) -> Codec:
+def codec_of(path: str, pattern: str, most: int = MEMO) -> Codec:
     """The codec of this worker process, kept from task to task with what it has met."""
-    return Codec(path, pattern)
+    return Codec(path, pattern, most)
 
 
-def groups(texts: list[str]):
-    """Runs of texts of about BLOCK_CHARS code points."""
-    at = total = 0
-    for i, t in enumerate(texts):
-        if total and total + len(t) > BLOCK_CHARS:
-            yield at, texts[at:i]
-            at, total = i, 0
-        total += len(t)
-    yield at, texts[at:]
+def groups(column: pa.Array, rows: int = 128):
+    """Runs of texts (null: empty) of about BLOCK_CHARS code points, with their first row; few rows are held as strings at a time."""
+    at, texts, total = 0, [], 0
+    for low in range(0, len(column), rows):
+        for t in column.slice(low, rows).to_pylist():
+            if total and total + len(t or "") > BLOCK_CHARS:
+                yield at, texts
+                at, texts, total = at + len(texts), [], 0
+            texts.append(t or "")
+            total += len(t or "")
+    if texts:
+        yield at, texts
 
 
 def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -164,8 +171,7 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     def run(batches):
         codec = codec_of(path, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            for at, some in groups(texts):
+            for at, some in groups(batch.column(1)):
                 found = codec.run(some)
                 n = [sum(x[1] for x in pieces) for pieces in found]
                 ids = [hashlib.sha256(",".join([x[0] for x in pieces]).encode()).hexdigest() for pieces in found]
@@ -176,8 +182,11 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
-    """All rows and columns, and the ids of the text (a null text: no ids); an existing ``ids_col`` is replaced."""
+def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", ids_col: str = "token_ids", memo: int = SMALL_MEMO) -> DataFrame:
+    """All rows and columns, and the ids of the text (a null text: no ids); an existing ``ids_col`` is replaced.
+
+    ``memo`` changes speed and memory only; it is small here, as this stage shares its workers with others.
+    """
     from pyspark.sql import types as T
 
     names = [c for c in docs.columns if c != ids_col]
@@ -185,10 +194,9 @@ def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id
     out = T.StructType([f for f in docs.schema.fields if f.name != ids_col]).add(ids_col, T.ArrayType(T.IntegerType()))
 
     def run(batches):
-        codec = codec_of(path, pattern)
+        codec = codec_of(path, pattern, memo)
         for batch in batches:
-            texts = [t or "" for t in batch.column(at_text).to_pylist()]
-            for at, some in groups(texts):
+            for at, some in groups(batch.column(at_text)):
                 found = codec.run(some)
                 joined = [",".join([x[0] for x in pieces if x[0]]) for pieces in found]
                 flat = np.array(",".join([j for j in joined if j]).split(",") if any(joined) else [], dtype=np.int32)
