@@ -138,7 +138,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     def run(batches):
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for doc, text in zip(batch.column(0).to_pylist(), (t.as_py() for t in batch.column(1)), strict=True):
                 base, spans = annotate(text)
                 counts = [sum(x[2] == k for x in base) for k in KINDS[:4]]
                 rows.append((doc, *counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), [x[3] for x in spans]))
@@ -155,7 +155,7 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            texts = [t if t is None else redact(t, annotate(t)[1]) for t in batch.column(at).to_pylist()]
+            texts = [t if t is None else redact(t, annotate(t)[1]) for t in (v.as_py() for v in batch.column(at))]
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names)
 

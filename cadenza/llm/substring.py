@@ -32,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .chunks import CHUNK, ids_of, pack, unpack
+from .chunks import ids_of, pack, unpack
 from .textcore import U64, Words, mix, powers, inverse, sliding_argmin
 from .workspace import Workspace, parallelism
 
 WINDOW, ANCHOR = 35, 8
+CHUNK = 2 << 20  # of text: the arrays of a chunk take some thirty times that
 BATCHES, FANOUT = 4, 2
 BLOCK_BASE = U64(0xC6A4A7935BD1E995)
 
