@@ -669,7 +669,7 @@ def q_hotwords(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- alignment and corrections -----------------------------------------------------------
 
-_ANCHOR = "an AS (SELECT user_id::VARCHAR AS clip_id, i * 2.0 AS x, i * 2.0 + x / 41 AS y, (row_number() OVER (PARTITION BY user_id ORDER BY i))::INT AS n FROM ev)"
+_ANCHOR = "an AS (SELECT user_id::VARCHAR AS clip_id, (i * 2.0)::DOUBLE AS x, i * 2.0 + x / 41 AS y, (row_number() OVER (PARTITION BY user_id ORDER BY i))::INT AS n FROM ev)"
 
 
 def _anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
