@@ -165,10 +165,10 @@ def _limb_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(F.col("user_id").cast("string").alias("clip_id"), "i", F.lit(8.0).alias("fps"), F.explode(limits).alias("v"), "x").select("clip_id", "i", "fps", "v.limb", "v.rank", (F.col("x") < F.col("v.lim")).alias("on"))
 
 
-def _episodes_sql(pre: int, pre_on: int, land: int, land_on: int, long: str) -> str:
+def _episodes_sql(pre: int, pre_on: int, land: int, land_on: int, long: str, gap: int = 32) -> str:
     o = "OVER (PARTITION BY clip_id, limb ORDER BY i ROWS BETWEEN {} AND {})"
     return f"""mk AS (SELECT *, coalesce(lag("on") OVER (PARTITION BY clip_id, limb ORDER BY i) AND NOT "on", false) AND coalesce(sum("on"::INT) {o.format(f'{pre} PRECEDING', '1 PRECEDING')}, 0) >= {pre_on} AS broke, CASE WHEN "on" AND sum("on"::INT) {o.format('CURRENT ROW', f'{land - 1} FOLLOWING')} >= {land_on} THEN i END AS firm FROM lb),
-br AS (SELECT clip_id, limb, rank, i AS a, CASE WHEN land - i < 32 THEN land END AS b FROM (SELECT *, min(firm) {o.format('CURRENT ROW', 'UNBOUNDED FOLLOWING')} AS land FROM mk) WHERE broke),
+br AS (SELECT clip_id, limb, rank, i AS a, CASE WHEN land - i < {gap} THEN land END AS b FROM (SELECT *, min(firm) {o.format('CURRENT ROW', 'UNBOUNDED FOLLOWING')} AS land FROM mk) WHERE broke),
 walk AS (SELECT clip_id, limb, rank, min(a) AS a, -1 AS done FROM br GROUP BY ALL UNION ALL
   SELECT w.clip_id, w.limb, w.rank, (SELECT min(n.a) FROM br n WHERE n.clip_id = w.clip_id AND n.limb = w.limb AND n.a > coalesce(x.b, x.a)), x.a FROM walk w JOIN br x ON x.clip_id = w.clip_id AND x.limb = w.limb AND x.a = w.a),
 ep AS (SELECT DISTINCT b.clip_id, b.limb, b.rank, b.a, b.b FROM walk w JOIN br b ON b.clip_id = w.clip_id AND b.limb = w.limb AND b.a = w.a WHERE {long})"""
@@ -262,6 +262,20 @@ def _transfer_events(a: DataFrame) -> DataFrame:
     return episodes.transfers(episodes.merge_overlaps(episodes.episodes(episodes.to_limbs(a), TRANSFER)), a)
 
 
+_MERGED = """, m0 AS (SELECT *, max(b) OVER (PARTITION BY clip_id ORDER BY a, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM ep),
+g0 AS (SELECT *, sum(CASE WHEN reach IS NULL OR a >= reach THEN 1 ELSE 0 END) OVER (PARTITION BY clip_id ORDER BY a, rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM m0),
+mg AS (SELECT clip_id, string_agg(limb, ',' ORDER BY a, rank) AS limbs, min(a) AS a, max(b) AS b FROM g0 GROUP BY clip_id, grp), """
+_TRANSFER = Q.with_(Q.pose(), Q.contacts(ST.CONTACT.on_t, ST.CONTACT.off_t), Q.states(), Q.limb_rows(), _episodes_sql(8, 6, 5, 4, "b.b - b.a >= 7", 120), recursive=True).rstrip() + _MERGED + Q.transfers()
+
+
+@query(_TRANSFER + """ SELECT clip_id, round(a / 30.0, 2) AS t0, round(b / 30.0, 2) AS t1, round((b - a) / 30.0, 2) AS dur, replace(replace(replace(replace(limbs, 'lh', '左手'), 'rh', '右手'), 'lf', '左脚'), 'rf', '右脚') AS moved,
+round(dx, 2) AS dx, round(dy, 2) AS dy, round(sqrt(dx * dx + dy * dy), 2) AS disp, s0, s1 FROM tr WHERE sqrt(dx * dx + dy * dy) > 0.2""")
+def q_transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T12, T14, T15, J1."""
+    e = _transfer_events(ST.analysed(spark, sf_dir))
+    return e.withColumn("moved", F.array_join("moved", ","))
+
+
 @query()
 def q_transfer_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T12, T14, T15, J1, D6."""
@@ -312,7 +326,7 @@ def q_hide_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.hide_windows(f, FPS, 900.0, 700.0)
 
 
-@query()
+@query(Q.with_(Q.pose(), Q.contacts(ST.CONTACT.on_t, ST.CONTACT.off_t), Q.phases()) + "SELECT clip_id, name, t0, t1, side, conf FROM ph")
 def q_tech_phases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M1 to M9, M16, T8, T10, T11, A10, A11."""
     f = techniques.features(ST.analysed(spark, sf_dir))
@@ -325,6 +339,12 @@ def q_tech_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return techniques.detect(ST.analysed(spark, sf_dir), FPS)[1]
 
 
+@query(Q.with_(Q.pose(), Q.contacts(ST.CONTACT.on_t, ST.CONTACT.off_t), Q.dynos()) + "SELECT clip_id, name, t, side, conf FROM dy")
+def q_dyno(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M14, T18."""
+    return techniques.dyno(techniques.features(ST.analysed(spark, sf_dir)), FPS)
+
+
 @query()
 def q_technique_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A9, A14."""

@@ -117,3 +117,56 @@ supported AS (SELECT *,
   CASE WHEN state IN ('3pt', '4pt') THEN CASE WHEN area ** 2 < 1e-9 THEN 0.0 ELSE least({line('q1', 'q2')}, {line('q2', 'q3')}, {line('q3', 'q1')}) END
        WHEN state = '2pt' THEN CASE WHEN {norm('p1', 'p2')} < 1e-9 THEN sqrt((com_x - p1.x) ** 2 + (com_y - p1.y) ** 2) ELSE sqrt((com_x - p1.x - {t} * (p2.x - p1.x)) ** 2 + (com_y - p1.y - {t} * (p2.y - p1.y)) ** 2) END END / torso AS margin,
   CASE WHEN state = '3pt' AND len(same) = 2 THEN {line('s1', 's2')} / torso ELSE 0.0 END AS bd FROM inner_)"""
+
+
+def limb_rows() -> str:
+    """Contacts of analysed frames, one row per limb."""
+    rows = " UNION ALL ".join(f"SELECT clip_id, i, '{limb}' AS limb, {k} AS rank, {limb} AS \"on\" FROM touching" for k, limb in enumerate(LIMBS))
+    return f"lb AS ({rows})"
+
+
+def phases(fps: float = 30.0, width: int = 9) -> str:
+    """Phases of techniques, from frames with contacts."""
+    d = angles()
+    kinds: list[tuple[str, str, str, float, str, str]] = [("side_on", "", "so", 0.8, "NULL::DOUBLE", "0.5 + sec / 4")]
+    for s, side in (("l", "左"), ("r", "右")):
+        o = "r" if s == "l" else "l"
+        off = lambda j: f"abs({s}{j}_x - mx)"  # noqa: B023, E731
+        kinds += [
+            ("drop_knee", side, f"climbing AND {s}f AND {off('knee')} + 0.08 * t < least({off('hip')}, {off('ank')}) AND {s}knee_deg < 155", 0.5, "NULL", "0.55 + sec / 3"),
+            ("lock_off", f"{side}手", f"climbing AND {s}h AND NOT {o}h AND {s}el_deg < 82", 0.6, "NULL", "0.55 + sec / 2"),
+            ("knee_bar", side, f"climbing AND NOT {s}f AND sqrt(({s}ank_x - {o}knee_x) ** 2 + ({s}ank_y - {o}knee_y) ** 2) < 0.18 * t AND abs({s}ank_y - {o}knee_y) < 0.15 * t", 0.6, "NULL", "0.6"),
+            ("heel_hook", side, f"climbing AND {s}f AND ({s}knee_y - {s}ank_y) / t > 0.25 AND {s}knee_deg < 175", 0.5, f"({s}knee_y - {s}ank_y) / t", "0.5 + top / 1.5"),
+            ("flagging", side, f"climbing AND NOT {s}f AND {o}f AND ({s}ank_x < least(lwr_x, rwr_x, {o}ank_x) - 0.5 * t OR {s}ank_x > greatest(lwr_x, rwr_x, {o}ank_x) + 0.5 * t) AND {s}knee_deg > 150", 0.5, "NULL", "0.5 + sec / 2"),
+        ]
+    kinds += [
+        ("cross_feet", "", "cf", 0.3, "cr / t", "0.4 + top"),
+        ("match_hands", "", "climbing AND lh AND rh AND (lf OR rf) AND sqrt((lwr_x - rwr_x) ** 2 + (lwr_y - rwr_y) ** 2) / t < 0.28", 0.4, "NULL", "0.6 + sec / 3"),
+        ("straight_arm", "", "climbing AND (lh OR rh) AND lel_deg > 158 AND rel_deg > 158", 1.0, "NULL", "0.5 + sec / 4"),
+    ]
+    rows = ", ".join(f"{{'kind': {k}, 'raw': coalesce({mask}, false), 'm': ({measure})::DOUBLE}}" for k, (_, _, mask, _, measure, _) in enumerate(kinds))
+    pick = lambda at: "CASE kind " + " ".join(f"WHEN {k} THEN {at(v)}" for k, v in enumerate(kinds)) + " END"
+    k = width // 2
+    return f"""tf AS (SELECT t.*, {', '.join(f'{d[a]} AS {a}_deg' for a in ('lel', 'rel', 'lknee', 'rknee'))}, greatest(torso, 1e-6) AS t, (lhip_x + rhip_x) / 2 AS mx, -sign(fo) * (lank_x - rank_x) AS cr FROM touching t JOIN (SELECT clip_id, quantile_cont(lank_x - rank_x, 0.5) AS fo FROM touching GROUP BY clip_id) m USING (clip_id)),
+th AS (SELECT *, CASE WHEN climbing AND (lh OR rh) AND abs(lsho_x - rsho_x) / t < 0.38 THEN true WHEN abs(lsho_x - rsho_x) / t > 0.48 THEN false END AS c1, CASE WHEN climbing AND cr > 0.06 * t THEN true WHEN NOT cr > -0.05 * t THEN false END AS c2 FROM tf),
+ti AS (SELECT *, {held('clip_id', 'c1')} AS so, {held('clip_id', 'c2')} AS cf FROM th),
+tj AS (SELECT clip_id, i, v.kind AS kind, v.raw AS raw, v.m AS m FROM (SELECT clip_id, i, unnest([{rows}]) AS v FROM ti)),
+tk AS (SELECT *, list(raw::INT) OVER (PARTITION BY clip_id, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l FROM tj),
+tl AS (SELECT clip_id, kind, i, m, list_sum([l[CASE WHEN i + k < 0 THEN -(i + k) WHEN i + k > len(l) - 1 THEN 2 * len(l) - (i + k) ELSE i + k + 1 END] FOR k IN range({-k}, {k + 1})]) / {width}.0 > 0.6 AS ok FROM tk),
+tm AS (SELECT clip_id, kind, min(i) AS a, max(i) AS b, max(m) AS top, (max(i) - min(i)) / {fps} AS sec FROM (SELECT *, i - row_number() OVER (PARTITION BY clip_id, kind ORDER BY i) AS g FROM tl WHERE ok) GROUP BY clip_id, kind, g HAVING count(*) >= 3 AND count(*) / {fps} >= {pick(lambda v: v[3])}),
+ph AS (SELECT clip_id, {pick(lambda v: f"'{v[0]}'")} AS name, round(a / {fps}, 2) AS t0, round(b / {fps}, 2) AS t1, {pick(lambda v: f"'{v[1]}'")} AS side, round(least(1.0, {pick(lambda v: v[5])}), 2) AS conf FROM tm)"""
+
+
+def dynos(fps: float = 30.0) -> str:
+    return f"""dm AS (SELECT clip_id, i, climbing, torso, NOT (lf OR rf) AS off, sum(com_y) OVER (PARTITION BY clip_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) / 5 AS y FROM touching),
+dv AS (SELECT *, CASE WHEN lag(y) OVER w IS NULL THEN coalesce(lead(y) OVER w - y, 0) WHEN lead(y) OVER w IS NULL THEN y - lag(y) OVER w ELSE (lead(y) OVER w - lag(y) OVER w) / 2 END * {fps} / greatest(torso, 1e-6) AS vy FROM dm WINDOW w AS (PARTITION BY clip_id ORDER BY i)),
+dr AS (SELECT *, i - row_number() OVER (PARTITION BY clip_id ORDER BY i) AS g FROM dv WHERE off),
+da AS (SELECT *, min(CASE WHEN climbing THEN i END) OVER (PARTITION BY clip_id, g) AS a FROM dr),
+dy AS (SELECT clip_id, 'dyno' AS name, round(a / {fps}, 2) AS t, '' AS side, round(least(1.0, 0.5 - min(vy) / 2), 2) AS conf FROM da WHERE i >= a GROUP BY clip_id, g, a HAVING count(*) >= {int(0.25 * fps)} AND min(vy) < -1.0)"""
+
+
+def transfers(fps: float = 30.0) -> str:
+    """Transfers from merged spans ``mg`` (limbs, a, b) and frames ``supported``."""
+    at = lambda name, key: f"JOIN supported {name} ON {name}.clip_id = m.clip_id AND {name}.i = greatest(0, least(last, {key}))"
+    return f"""ls AS (SELECT clip_id, max(i) AS last FROM supported GROUP BY clip_id),
+tr AS (SELECT m.clip_id, m.a, m.b, limbs, (c1.com_x - c0.com_x) / c0.torso AS dx, (c1.com_y - c0.com_y) / c0.torso AS dy, s0.state AS s0, s1.state AS s1 FROM mg m JOIN ls ON ls.clip_id = m.clip_id {at('fa', 'm.a')} {at('fb', 'm.b')} {at('c0', f'm.a - {int(0.4 * fps)}')} {at('c1', f'm.b + {int(0.6 * fps)}')} {at('s0', 'm.a - 1')} {at('s1', 'm.b + 2')} WHERE fa.climbing OR fb.climbing)"""
