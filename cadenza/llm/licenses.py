@@ -26,6 +26,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .workspace import Workspace
+
 #: Statement lines of well-known licences.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -104,17 +106,18 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: flo
         scored = dots.join(norms, "unit").select("unit", "template", F.round(F.col("dot") / F.col("norm"), 6).alias("score"))
         return scored.filter(F.col("score") >= threshold)
 
-    pattern = r"(?i)(^|[^a-z0-9])(" + "|".join(strong) + r")([^a-z0-9]|$)"
-    # ASCII letters only on both sides, as in words(): (?i) without Unicode case
-    lines = F.array_distinct(F.filter(F.split("text", "\n"), lambda line: F.rlike(line, F.lit(pattern))))
-    some = every.withColumn("lines", lines).filter(F.size("lines") > 0)
+    proof = F.array(*map(F.lit, strong))
+    lines = F.array_distinct(F.filter(F.split("text", "\n"), lambda line: F.arrays_overlap(words(line), proof)))
+    # few lines are left; written once, as three steps start from them
+    some = Workspace(spark, "licenses").keep(every.select("doc_id", "path", "text", F.explode(lines).alias("line")), "lines")
     best = F.min(F.struct((-F.col("score")).alias("s"), F.col("template").alias("t")))
-    stated = cosines(some.select(F.explode("lines").alias("body")).distinct().select(F.col("body").alias("unit"), "body"))
+    stated = cosines(some.select(F.col("line").alias("unit"), F.col("line").alias("body")).distinct())
     by_line = stated.groupBy("unit").agg(best.alias("b")).select(F.col("unit").alias("line"), "b")
-    own = some.select("doc_id", "path", F.explode("lines").alias("line")).join(by_line, "line").groupBy("doc_id", "path").agg(F.min("b").alias("b"))
+    own = some.select("doc_id", "path", "line").join(by_line, "line").groupBy("doc_id", "path").agg(F.min("b").alias("b"))
     own = own.select(F.col("doc_id").alias("own_id"), F.col("path").alias("own_path"), F.col("b.t").alias("own_license"), (-F.col("b.s")).alias("own_score"))
-    whole = cosines(some.select(F.struct("doc_id", "path").alias("unit"), F.col("text").alias("body"))).groupBy("unit").agg(best.alias("b")).select("unit.doc_id", "unit.path", F.lit(True).alias("whole"))
-    whole = whole.select(F.col("doc_id").alias("whole_id"), F.col("path").alias("whole_path"), "whole")
+    texts = some.select("doc_id", "path", "text").distinct()
+    full = cosines(texts.select(F.col("text").alias("unit"), F.col("text").alias("body")).distinct()).select(F.col("unit").alias("text")).distinct()
+    whole = texts.join(full, "text", "left_semi").select(F.col("doc_id").alias("whole_id"), F.col("path").alias("whole_path"), F.lit(True).alias("whole")).distinct()
 
     base = every.select("doc_id", "path")
     marked = base.join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & F.col("path").eqNullSafe(F.col("own_path")), "left")
