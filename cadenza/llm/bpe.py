@@ -26,6 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .workspace import bounded_batches, give_back
+
 LONG = 400
 BLOCK_CHARS = 2_000_000
 MEMO, SMALL_MEMO = 250_000, 60_000  # pieces of a generation; the one before is kept too, and what is met again moves on
@@ -177,7 +179,9 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
                 ids = [hashlib.sha256(",".join([x[0] for x in pieces]).encode()).hexdigest() for pieces in found]
                 back = [hashlib.sha256(b"".join([x[2] for x in pieces])).hexdigest() for pieces in found]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], schema=schema)
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
     return picked.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
@@ -203,5 +207,9 @@ def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id
                 sizes = np.cumsum([0, *(sum(x[1] for x in pieces) for pieces in found)]).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(some)) for c in batch.columns), ids], [*names, ids_col])
+        codec_of.cache_clear()
+        del codec
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, out)

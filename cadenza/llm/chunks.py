@@ -13,6 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .textcore import Texts
+from .workspace import bounded_batches, give_back
 
 CHUNK = 4 << 20
 COLUMNS = "chunk long, ids binary, sizes binary, texts binary, bytes long"
@@ -46,7 +47,9 @@ def pack(docs: DataFrame, size: int = CHUNK) -> DataFrame:
                 held += len(block.data)
         if ids:
             yield chunk()
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, COLUMNS)
 
 

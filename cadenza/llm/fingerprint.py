@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .textcore import BYTE_KEY, U64, WORD_BASE, Texts, mix, powers
-from .workspace import parallelism
+from .workspace import bounded_batches, parallelism
 
 CELLS, HASHES, GROWTH, SALT = 8, 3, 4, 0x51ED270B7A14F0C3
 #: Cells of the fingerprint that is returned (as a digest of all of them).
@@ -175,6 +175,7 @@ BLOCK_CHARS = 1_000_000
 
 def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
     """One row per document: fingerprints of it and its edited text, likeness to that and to the next document."""
+    bounded_batches(docs.sparkSession)
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
     parts = parts or max(1, parallelism(docs.sparkSession))
     turn = in_turn(picked, parts).repartition(parts, "part").sortWithinPartitions("part", "extra", "doc_id", "text")

@@ -22,6 +22,8 @@ import zlib
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .workspace import bounded_batches
+
 # Fixed values of ISO/IEC 11172-3, layer III: kbit/s by index, Hz by index.
 BITRATES = (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320)
 RATES = (44100, 48000, 32000)
@@ -185,5 +187,6 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 rows = [one(d, t.as_py()) for d, t in zip(ids[at : at + 500], batch.column(1).slice(at, 500), strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), TYPES, strict=True)], schema=schema)
 
+    bounded_batches(docs.sparkSession)
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
     return picked.mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, duration_ms double, seek_offsets array<long>")

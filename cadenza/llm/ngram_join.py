@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .textcore import U64, Texts, Words, mix, powers, segment_sum
-from .workspace import Workspace, parallelism
+from .workspace import Workspace, bounded_batches, give_back, parallelism
 
 SHINGLE, SHARE = 5, 80
 SPREAD = 1.25  # segments of a band: this times its H, and two more
@@ -178,7 +178,9 @@ def index(docs: DataFrame, buckets: int) -> DataFrame:
                 none = [None] * len(rows[0])
                 if len(rows[0]):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip([*[none] * 5, *rows], types, strict=True)], schema=schema)
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, INDEX)
 
 

@@ -18,6 +18,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .workspace import bounded_batches
+
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
@@ -144,6 +146,7 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
                 rows.append((doc, *counts, hashlib.sha256(joined(base).encode()).hexdigest(), joined(spans), [x[3] for x in spans]))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), SCHEMA.types, strict=True)] if rows else [pa.array([], t) for t in SCHEMA.types], schema=SCHEMA)
 
+    bounded_batches(docs.sparkSession)
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
     return picked.mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, scores array<double>")
 
@@ -159,4 +162,5 @@ def redacted(docs: DataFrame, text_col: str = "text") -> DataFrame:
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names)
 
+    bounded_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .textcore import U64, Texts, Words
+from .workspace import bounded_batches, give_back
 
 SAMPLE = 12_000
 FEATURES = ("chars", "words", "word_len", "words_a_line", "upper", "digit", "mark", "pipe", "bang", "other_punct", "wide", "repeat_next", "distinct", "marked_word", "upper_word", "line_repeat", "stop_like", "sentence_end")
@@ -206,7 +207,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", keep:
         for batch in batches:
             x = features(Texts.of(batch.column(1)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *(pa.array(x[:, i]) for i in range(len(names)))], schema=schema)
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     rows = training_rows(docs, labels, label_col, keep).mapInArrow(run, "doc_id long, label int, " + ", ".join(f"{n} double" for n in names)).toPandas()
     rows = rows.sort_values(["doc_id", *names]).reset_index(drop=True)  # bounded by SAMPLE; the same model on every run
     return fit(rows[names].to_numpy(float), rows["label"].to_numpy(float))
@@ -224,5 +227,7 @@ def scored(docs: DataFrame, model: Gam, score_col: str = "score", text_col: str
         for batch in batches:
             x = features(Texts.of(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(x))], [*names, score_col])
+        give_back()
 
+    bounded_batches(docs.sparkSession)
     return docs.select(*[f"`{c}`" for c in names]).mapInArrow(run, out)

@@ -6,9 +6,12 @@ Lineage is cut by writing Parquet into the folder named by ``spark.checkpoint.di
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,6 +24,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+BATCH_ROWS = "1000"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Texts are long: rows of an Arrow batch, which Spark counts without regard to their size, are fewer than by default."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name)) > int(BATCH_ROWS):
+        spark.conf.set(name, BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Return memory that a worker process no longer uses (workers live on from task to task)."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # glibc only
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 class Workspace:
     """A new folder below the shared one."""
 
