@@ -108,16 +108,17 @@ def scan(files: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: flo
 
     proof = F.array(*map(F.lit, strong))
     lines = F.array_distinct(F.filter(F.split("text", "\n"), lambda line: F.arrays_overlap(words(line), proof)))
-    # few lines are left; written once, as three steps start from them
-    some = Workspace(spark, "licenses").keep(every.select("doc_id", "path", "text", F.explode(lines).alias("line")), "lines")
+    # few lines are left; written once, as three steps start from them (the array of one keeps Spark from finding them twice)
+    found = every.select("doc_id", "path", "text", F.explode(F.array(lines)).alias("lines")).filter(F.size("lines") > 0)
+    some = Workspace(spark, "licenses").keep(found.withColumn("row", F.monotonically_increasing_id()), "lines")
+    stated_lines = some.select("doc_id", "path", F.explode("lines").alias("line"))
     best = F.min(F.struct((-F.col("score")).alias("s"), F.col("template").alias("t")))
-    stated = cosines(some.select(F.col("line").alias("unit"), F.col("line").alias("body")).distinct())
+    stated = cosines(stated_lines.select(F.col("line").alias("unit"), F.col("line").alias("body")).distinct())
     by_line = stated.groupBy("unit").agg(best.alias("b")).select(F.col("unit").alias("line"), "b")
-    own = some.select("doc_id", "path", "line").join(by_line, "line").groupBy("doc_id", "path").agg(F.min("b").alias("b"))
+    own = stated_lines.join(by_line, "line").groupBy("doc_id", "path").agg(F.min("b").alias("b"))
     own = own.select(F.col("doc_id").alias("own_id"), F.col("path").alias("own_path"), F.col("b.t").alias("own_license"), (-F.col("b.s")).alias("own_score"))
-    texts = some.select("doc_id", "path", "text").distinct()
-    full = cosines(texts.select(F.col("text").alias("unit"), F.col("text").alias("body")).distinct()).select(F.col("unit").alias("text")).distinct()
-    whole = texts.join(full, "text", "left_semi").select(F.col("doc_id").alias("whole_id"), F.col("path").alias("whole_path"), F.lit(True).alias("whole")).distinct()
+    full = cosines(some.select(F.struct("doc_id", "path", "row").alias("unit"), F.col("text").alias("body"))).select("unit.*").distinct()
+    whole = full.select(F.col("doc_id").alias("whole_id"), F.col("path").alias("whole_path"), F.lit(True).alias("whole")).distinct()
 
     base = every.select("doc_id", "path")
     marked = base.join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & F.col("path").eqNullSafe(F.col("own_path")), "left")
