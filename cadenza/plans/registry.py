@@ -137,7 +137,7 @@ def q_longest_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(Q.with_(Q.EV, _TOLERANT) + ", n AS (SELECT user_id, count(*) AS n FROM ev GROUP BY user_id), l AS (SELECT user_id, b FROM t QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY b - a DESC, a) = 1) SELECT user_id::VARCHAR AS clip_id, 0 AS a, least(n - 1, coalesce(b + 3, 19))::INT AS b FROM n LEFT JOIN l USING (user_id)")
 def q_pick_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of a clip to show, at two frames a second and a tolerance of three frames... as rows of events."""
+    """The part of a clip to show, with tolerances counted in events."""
     f = ST.events(spark, sf_dir).select(F.col("user_id").cast("string").alias("clip_id"), "i", (F.col("x") > 90).alias("climbing"))
     best = series.longest_run(f, ["clip_id"], "climbing", 3).select("clip_id", "b")
     n = f.groupBy("clip_id").agg(F.count("*").alias("n"))
