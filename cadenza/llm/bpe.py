@@ -30,7 +30,7 @@ from .workspace import bounded_batches, give_back
 
 LONG = 400
 BLOCK_CHARS = 2_000_000
-MEMO, SMALL_MEMO = 250_000, 60_000  # pieces of a generation; the one before is kept too, and what is met again moves on
+MEMO, SMALL_MEMO = 400_000, 60_000  # pieces of a generation; the one before is kept too, and what is met again moves on
 
 #: A token-position row is one number: piece, position and id, in that order of significance.
 POS_BITS, ID_BITS = 12, 20
