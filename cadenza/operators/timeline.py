@@ -174,5 +174,13 @@ def summary(stats: DataFrame, phases: DataFrame, events: DataFrame) -> DataFrame
     return stats.join(n, "clip_id", "left").select("clip_id", F.round(F.element_at("state_s", "3pt"), 0).alias("three_point_s"), "transfers", F.coalesce("n_tech", F.lit(0)).alias("n_tech"), F.coalesce("n_kinds", F.lit(0)).alias("n_kinds"), F.round("max_barndoor", 0).alias("max_barndoor"))
 
 
+def window_summary(frames: DataFrame, events: DataFrame, t0: float, t1: float, fps: float) -> DataFrame:
+    """Seconds on three points, largest barn-door arm and transfers that begin within a window of a clip."""
+    part = frames.filter((F.col("i") >= t0 * fps) & (F.col("i") <= t1 * fps))
+    body = part.groupBy("clip_id").agg(F.round(F.count_if(F.col("state") == "3pt") / fps, 4).alias("three_point_s"), F.round(F.max("bd"), 4).alias("max_bd"))
+    n = events.filter(F.col("t0").between(t0, t1)).groupBy("clip_id").agg(F.count("*").alias("n"))
+    return body.join(n, "clip_id", "left").select("clip_id", "three_point_s", "max_bd", F.coalesce("n", F.lit(0)).alias("n_events"))
+
+
 def hud_scale(w: Column, h: Column) -> Column:
     return F.least(w / 1080, h / 1920)

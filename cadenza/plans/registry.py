@@ -523,6 +523,29 @@ def q_summary_card(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeline.summary(pose.clip_stats(a, _transfer_events(a)), *techniques.detect(a, FPS))
 
 
+@query(_TRANSFER + """, w AS (SELECT clip_id, round(count_if(state = '3pt') / 30.0, 4) AS three_point_s, round(max(bd), 4) AS max_bd FROM supported WHERE i BETWEEN 6 AND 36 GROUP BY clip_id),
+e AS (SELECT clip_id, count(*) AS n FROM tr WHERE sqrt(dx * dx + dy * dy) > 0.2 AND round(a / 30.0, 2) BETWEEN 0.2 AND 1.2 GROUP BY clip_id) SELECT clip_id, three_point_s, max_bd, coalesce(n, 0) AS n_events FROM w LEFT JOIN e USING (clip_id)""")
+def q_window_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A13."""
+    a = ST.analysed(spark, sf_dir)
+    return timeline.window_summary(a, _transfer_events(a), 0.2, 1.2, FPS)
+
+
+@query(_CONTACT + "SELECT clip_id, i, len(p)::INT AS n, round(list_sum(list_transform(p, lambda v: v)), 4) AS xs FROM (SELECT clip_id, i, list_filter([" + ", ".join(f"CASE WHEN {limb} THEN {j}_x END" for limb, j in Q.LIMB_JOINT.items()) + "], lambda v: v IS NOT NULL)[1:3] AS p FROM touching) WHERE len(p) > 0")
+def q_first_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triangle that renderers draw."""
+    ends = F.array(*[G.joint(F.col("kpts"), j) for j in Q.LIMB_JOINT.values()])
+    p = ST.analysed(spark, sf_dir).select("clip_id", "i", lookups.first_contacts(F.array(*LIMBS), ends).alias("p")).filter(F.size("p") > 0)
+    return p.select("clip_id", "i", F.size("p").alias("n"), F.round(F.aggregate("p", F.lit(0.0), lambda s, v: s + v["x"]), 4).alias("xs"))
+
+
+@query("SELECT c_custkey, round(least((1080 + c_custkey % 2760) / 1080.0, (1920 + c_custkey % 240) / 1920.0), 9) AS scale FROM customer")
+def q_hud_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P13."""
+    k = F.col("c_custkey")
+    return ST.table(spark, sf_dir, "customer").select("c_custkey", F.round(timeline.hud_scale((1080 + k % 2760).cast("double"), (1920 + k % 240).cast("double")), 9).alias("scale"))
+
+
 # ---- lookups -----------------------------------------------------------------------------
 
 _TIMES = "tm AS (SELECT DISTINCT clip_id, t0 + 0.7 AS t FROM mk)"
