@@ -738,13 +738,13 @@ def q_warp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _two_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    w = ST.words(spark, sf_dir).filter("pos < 300")
+    w = ST.words(spark, sf_dir)
     return w.withColumn("start", F.col("start") * 0.95).withColumn("end", F.col("end") * 0.95), w.filter("pos % 9 <> 4")
 
 
 @query()
 def q_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """X5, J10 (the first 300 words of a document are the stand-in for a clip's speech)."""
+    """X5, J10 (the words of a document are the stand-in for a clip's speech)."""
     return alignment.anchors(*_two_streams(spark, sf_dir))
 
 
