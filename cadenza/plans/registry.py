@@ -643,7 +643,7 @@ _MIX = "mx AS (SELECT conv_id, turn, concat(CASE turn % 4 WHEN 0 THEN '，要点
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     head = F.when(F.col("turn") % 4 == 0, "，要点岩, 摇点  DYNO ").when(F.col("turn") % 4 == 1, "中心，，在heel-hook上").when(F.col("turn") % 4 == 2, "品池 and Beta 换手").otherwise("")
-    return ST.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(head, F.substring("text", 1, 40)).alias("t"))
+    return ST.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(head, "text").alias("t"))
 
 
 def _fix_sql(c: str) -> str:
@@ -690,7 +690,7 @@ def q_captions_srt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_micro_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X8."""
     c = ST.table(spark, sf_dir, "conversations")
-    s = c.select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("k"), F.concat(F.substring("text", 1, 24), F.lit("。")).alias("text"), F.array(F.array((F.col("turn") * 900).cast("long"), (F.col("turn") * 900 + 750).cast("long"))).alias("ts"))
+    s = c.select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("k"), F.concat("text", F.lit("。")).alias("text"), F.array(F.array((F.col("turn") * 900).cast("long"), (F.col("turn") * 900 + 750).cast("long"))).alias("ts"))
     return transcript.merge_sentences(s)
 
 
@@ -699,7 +699,7 @@ def q_unit_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Timed units of turns, regrouped to words."""
     c = ST.table(spark, sf_dir, "conversations")
     ts = F.array(F.array((F.col("turn") * 900).cast("long"), (F.col("turn") * 900 + 750).cast("long")))
-    s = c.select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("k"), F.substring("text", 1, 60).alias("text"), X.unit_times(F.substring("text", 1, 60), ts).alias("units"))
+    s = c.select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("k"), "text", X.unit_times(F.col("text"), ts).alias("units"))
     return alignment.regroup(s)
 
 
@@ -707,7 +707,7 @@ def q_unit_times(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_hotwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X24."""
     c = ST.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda v: v["text"]), " ").alias("t"))
-    return c.select("conv_id", X.hotwords(F.array_distinct(F.split(F.substring("t", 1, 200), " "))).alias("hot"))
+    return c.select("conv_id", X.hotwords(F.array_distinct(F.split("t", " "))).alias("hot"))
 
 
 # ---- alignment and corrections -----------------------------------------------------------
@@ -758,7 +758,7 @@ def q_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def q_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two proposals for each turn, one small and one that rewrites."""
-    c = ST.table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("k"), F.substring("text", 1, 60).alias("text"))
+    c = ST.table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("string").alias("clip_id"), F.col("turn").cast("int").alias("k"), "text")
     caps = c.withColumn("start", F.col("k") * 8.0).withColumn("end", F.col("k") * 8.0 + 7.5).withColumn("terms", F.array().cast("array<struct<term:string,off:int>>"))
     small = c.select("clip_id", F.lit(0).alias("seq"), F.col("k").alias("i"), F.replace("text", F.lit(" the "), F.lit(" then ")).alias("text"))
     large = c.select("clip_id", F.lit(1).alias("seq"), F.col("k").alias("i"), F.substring("text", 1, 20).alias("text"))
