@@ -3,7 +3,8 @@
 ``encode`` stores any bytes losslessly in a valid MPEG-1 layer III stream: an ID3v2
 tag names the byte count, a Xing frame carries the variable-bitrate table (frames,
 bytes, seek points), and each audio frame has a checksum, silent side information
-and the bytes in its main-data area.  ``parse`` reads any such stream: it skips
+and the bytes in its main-data area; an empty ID3v1 tag ends it, so that no payload is
+taken for one.  ``parse`` reads any such stream: it skips
 tags, finds frame headers again after damage, verifies checksums, reads the
 variable-bitrate table, and returns exact durations and the offset of every frame.
 
@@ -29,6 +30,7 @@ BITRATES = (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320)
 RATES = (44100, 48000, 32000)
 SAMPLES = 1152
 HEAD, CRC, SIDE, SIDE_MONO = 4, 2, 32, 17
+TAIL = 128  # bytes of an ID3v1 tag
 RATE_INDEX = 1
 XING_FLAGS = 0b0111  # frames, bytes and seek points follow
 
@@ -90,7 +92,7 @@ def encode(payload: bytes) -> bytes:
     xing = b"Xing" + struct.pack(">III", XING_FLAGS, len(frames), audio) + seek
     text = b"\x00payload_bytes\x00" + str(len(payload)).encode()
     tag = b"TXXX" + struct.pack(">IH", len(text), 0) + text
-    return b"".join([b"ID3\x03\x00\x00", syncsafe(len(tag)), tag, table, xing.ljust(CAPACITY[LARGEST], b"\x00"), *frames])
+    return b"".join([b"ID3\x03\x00\x00", syncsafe(len(tag)), tag, table, xing.ljust(CAPACITY[LARGEST], b"\x00"), *frames, b"TAG".ljust(TAIL, b"\x00")])
 
 
 def header(data: bytes, at: int) -> tuple[int, int, int, bool, bool] | None:
@@ -118,8 +120,8 @@ def parse(data: bytes) -> dict:
                 tag[name.decode("latin-1")] = value.decode("latin-1")
             p += 10 + n
         at = stop
-    if data[-128:-125] == b"TAG":
-        end -= 128
+    if data[-TAIL:][:3] == b"TAG":
+        end -= TAIL
     synced = False
     while at < end:
         h = header(data, at)
