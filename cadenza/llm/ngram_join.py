@@ -345,7 +345,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     indexed = space.keep(index(picked, 2 * parallelism(spark)), "index")
     rows = indexed.filter("bucket is null").select("doc_id", "n", "key", "need_own", "need_next")
     classes = space.keep(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("need_own").alias("need_own"), F.first("need_next").alias("need_next")), "classes")
-    raw = shared_lists(indexed.filter("bucket is not null"))
+    # segments of one list lie in several buckets; its members share all of them
+    raw = shared_lists(indexed.filter("bucket is not null")).groupBy("list", "key", "kind").agg(F.sum("segments").alias("segments"), F.max("many").alias("many"))
     need = F.when(F.col("kind") == OWN, F.col("need_own")).when(F.col("kind") == NEXT, F.col("need_next")).otherwise(F.lit(1))
     own = Window.partitionBy("key", "kind")
     rare = own.orderBy("many", "list").rowsBetween(Window.unboundedPreceding, -1)
