@@ -6,6 +6,7 @@ Lineage is cut by writing Parquet into the folder named by ``spark.checkpoint.di
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import ctypes
 import tempfile
@@ -16,9 +17,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; one of our own only where that is unset."""
+    """``spark.checkpoint.dir`` of the session; one of our own only where that is unset and all tasks run on this machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="cadenza-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -41,12 +44,32 @@ def give_back() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_open: dict[str, SparkSession] = {}
+
+
+@atexit.register
+def release() -> None:
+    """Delete the folders of all queries so far, when their results are no longer read; runs by itself when the driver ends."""
+    while _open:
+        path, spark = _open.popitem()
+        with contextlib.suppress(Exception):  # the session may be gone; what is left is in the folder that the cluster names
+            if spark.sparkContext._jsc is not None:
+                delete(spark, path)
+
+
 class Workspace:
-    """A new folder below the shared one."""
+    """A new folder below the shared one, there until ``release``."""
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        _open[self.path] = spark
 
     def keep(self, df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
         """Write ``df`` once and read it back from the shared folder."""
@@ -67,8 +90,7 @@ class Workspace:
 
     def drop(self, name: str = "") -> None:
         """Delete one table, or the whole folder."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}".rstrip("/"))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, f"{self.path}/{name}")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
