@@ -180,6 +180,8 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         media = encode(payload)
         found = parse(media)
         back = found["payload"]
+        if back != payload:
+            raise ValueError(f"document {doc}: the stream does not give back its {len(payload)} bytes")
         return (doc, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-64:]), len(media), hashlib.sha256(media).hexdigest(), features(found), found["samples"] * 1000 / found["rate"], found["offsets"])
 
     def run(batches):
