@@ -7,10 +7,15 @@ its id, so that a rerun, or a lost executor's retry, draws the same.  Copies are
 then put in one global random order.
 
 Rules for odd input: a null text counts no characters and is replicated like any
-other; a null source is a source of its own; a source without characters, or with
-target weight 0, has rate 0; a null id is hashed as empty text; repeated rows draw
-the same number each; an empty table gives an empty result; all columns are kept,
-and ``copy`` and ``shuffle_key`` replace columns of those names.
+other; a very long text is one document like any other; a null source is a source of
+its own; a source without characters, or with target weight 0, has rate 0; a null id is
+hashed as empty text; repeated rows (one id) draw the same number each and have equal
+shuffle keys, so they stand together; an empty table gives an empty result; all columns
+are kept, and ``copy`` and ``shuffle_key`` replace columns of those names.
+
+The documents are shuffled once, by the random key.  The rates, a row for each source, are
+written and counted; up to ``FEW_SOURCES`` of them are broadcast.  More are joined by a
+shuffle on the source and one of ``SALTS`` parts of it, so that no source is one task.
 """
 
 from __future__ import annotations
@@ -18,8 +23,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .workspace import Workspace
+
 SEED = "mix-1"
 TEMPERATURE = 0.5
+FEW_SOURCES, SALTS = 100_000, 64
 MAX_RATE = 600.0  # exp(-rate) is a normal double below it; larger means are split into parts of at most this
 
 
@@ -58,17 +66,27 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, tempe
     return by.crossJoin(F.broadcast(total)).select("source", "chars", F.when(F.col("weights") > 0, rate).otherwise(F.lit(0.0)).alias("rate"))  # one row of totals
 
 
+def with_rates(docs: DataFrame, rates: DataFrame, source_col: str, id_col: str, few: int = FEW_SOURCES) -> DataFrame:
+    """Documents and the ``__rate`` of their source."""
+    same = F.col(source_col).eqNullSafe(F.col("__source"))
+    if rates.count() <= few:
+        return docs.join(F.broadcast(rates), same)  # at most ``few`` rows
+    salted = docs.withColumn("__salt", F.pmod(F.xxhash64(id_col), F.lit(SALTS)))
+    copies = rates.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return salted.join(copies, same & (F.col("__salt") == F.col("__part"))).drop("__salt", "__part")
+
+
 def replicate(docs: DataFrame, weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, size: float = 1.0, seed: str = SEED, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """Documents, each as often as drawn, in global random order (ascending ``shuffle_key`` over the partitions)."""
+    """Documents, each as often as drawn, in global random order: dealt to partitions by a hash of the random ``shuffle_key``, ascending by it within each."""
     names = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
     rates = source_rates(docs, weights, temperature, size, source_col, text_col).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
-    joined = docs.join(rates, docs[source_col].eqNullSafe(F.col("__source")))
-    key = F.coalesce(docs[id_col].cast("string"), F.lit(""))
+    joined = with_rates(docs.select(*[F.col(f"`{c}`") for c in names]), Workspace(docs.sparkSession, "mixing").keep(rates, "rates"), source_col, id_col)
+    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     parts = F.greatest(F.lit(1), F.ceil(F.col("__rate") / MAX_RATE).cast("int"))
     draws = F.transform(F.sequence(F.lit(1), parts), lambda i: poisson(F.col("__rate") / parts, uniform(F.lit(seed), key, i.cast("string"))))
     n = F.when(F.col("__rate") > 0, F.aggregate(draws, F.lit(0), lambda a, x: a + x)).otherwise(F.lit(0))
     some = joined.withColumn("__n", n).filter("__n > 0")
-    out = some.select(*[docs[c] for c in names], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
+    out = some.select(*[F.col(f"`{c}`") for c in names], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))
     order = F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.col("copy").cast("string")))
     return out.withColumn("shuffle_key", order).repartition("shuffle_key").sortWithinPartitions("shuffle_key", id_col, "copy")
 
