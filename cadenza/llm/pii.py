@@ -2,12 +2,15 @@
 
 Base kinds (always kept once valid): email, ip (parts at most 255), card (12 to 19
 digits, Luhn) and phone (9 to 15 digits).  Further kinds are kept from a score of
-``KEEP`` on: iban (mod-97), ssn (format, then context decides).
+``KEEP`` on: iban (as long as its country's are, mod-97), ssn (format, then context
+decides).  Context words are those of English, German, French and Spanish, and are taken
+whole where the window cuts them.
 
 Rules for odd input: a null or empty text has no spans; offsets count code points;
-a match that fails its check is dropped and not tried again from a later start;
-repeated rows each get their own result; an empty table gives an empty result;
-columns other than the id and the text are not read.
+a match of a base kind that fails its check is dropped and not tried again from a later
+start; texts and runs of digits of any length are searched whole; spans of equal start
+stand in the order of the kinds; repeated rows and null ids each get their own result;
+an empty table gives an empty result; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -25,22 +28,40 @@ DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+IBAN = re.compile(r"(?<![A-Za-z0-9])(?=([A-Z]{2})[0-9]{2}\x20?[A-Z0-9])")
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE_SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9, "ssn": 0.35}
+# Length of an IBAN by country, as the public registry of ISO 13616 lists them.
+IBAN_LENGTH = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21,
+    "CR": 22, "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18,
+    "FR": 27, "GB": 22, "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26,
+    "IT": 27, "JO": 30, "KW": 30, "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24,
+    "ME": 22, "MK": 19, "MN": 20, "MR": 27, "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29,
+    "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33, "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23,
+    "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+_iban = {n: re.compile(rf"[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])") for n in set(IBAN_LENGTH.values())}
+
+#: Words that speak for a kind, in the four languages.
 CONTEXT = {
-    "email": ("mail", "contact", "write"),
-    "ip": ("ip", "address", "server", "host"),
-    "card": ("card", "visa", "credit", "payment"),
-    "phone": ("phone", "call", "tel", "mobile", "fax"),
-    "iban": ("iban", "account", "bank"),
-    "ssn": ("ssn", "social", "security"),
+    "email": "mail email contact write kontakt schreiben adresse courriel contacter correo contacto escribir".split(),
+    "ip": "ip address server host adresse rechner serveur hôte dirección servidor".split(),
+    "card": "card visa credit payment karte kreditkarte zahlung kartennummer carte crédit paiement bancaire tarjeta crédito pago".split(),
+    "phone": "phone call tel mobile fax telefon anruf handy rufnummer téléphone appeler portable teléfono llamar móvil".split(),
+    "iban": "iban account bank konto kontonummer bankverbindung compte banque cuenta banco".split(),
+    "ssn": "ssn social security sozialversicherungsnummer sozialversicherung sécurité sociale seguridad seguro".split(),
+}
+AGAINST = {
+    "ip": "version release versión".split(),
+    "card": "order serial isbn bestellung seriennummer commande série pedido serie".split(),
+    "ssn": "part model order teil modell bestellung pièce modèle commande pieza modelo pedido".split(),
 }
-AGAINST = {"ip": ("version", "release"), "card": ("order", "serial", "isbn"), "ssn": ("part", "model", "order")}
 WINDOW, STEP, KEEP = 40, 0.2, 0.5
-WORD = re.compile(r"[a-z]+")
+WORD = re.compile(r"[^\W\d_]+")
+LONGEST = max(len(w) for words in (*CONTEXT.values(), *AGAINST.values()) for w in words)
 
 
 def luhn(digits: str) -> bool:
@@ -93,17 +114,30 @@ def find(text: str) -> list[tuple[int, int, str]]:
         for m in PHONE.finditer(text):
             if 9 <= sum("0" <= c <= "9" for c in m[0]) <= 15:
                 out.append((m.start(), m.end(), "phone"))
+    free = 0
     for m in IBAN.finditer(text):
-        compact = m[0].replace(" ", "")
-        if 15 <= len(compact) <= 34 and mod97(compact):
-            out.append((m.start(), m.end(), "iban"))
+        if m.start() >= free and (n := IBAN_LENGTH.get(m[1])) and (own := _iban[n].match(text, m.start())) and mod97(own[0].replace(" ", "")):
+            free = own.end()
+            out.append((m.start(), free, "iban"))
     out += [(m.start(), m.end(), "ssn") for m in SSN.finditer(text)]
     return out
 
 
+def around(text: str, start: int, end: int) -> set[str]:
+    """Words that begin or end within ``WINDOW`` characters of a span; one that the window cuts is read on, as far as any word of context is long."""
+    low, high = max(0, start - WINDOW), min(len(text), end + WINDOW)
+    before = WORD.search(text[max(0, low - LONGEST) : low][::-1])
+    after = WORD.match(text, high)
+    if low and text[low].isalpha() and before and before.start() == 0:
+        low -= before.end()
+    if after and text[high - 1].isalpha():
+        high = min(after.end(), high + LONGEST)
+    return set(WORD.findall(f"{text[low:start]} {text[end:high]}".lower()))
+
+
 def score(text: str, start: int, end: int, kind: str) -> float:
-    """Prior of the kind, one step up or down for words within ``WINDOW`` characters."""
-    near = set(WORD.findall(f"{text[max(0, start - WINDOW) : start]} {text[end : end + WINDOW]}".lower()))
+    """Prior of the kind, one step up or down for the words around it."""
+    near = around(text, start, end)
     up, down = not near.isdisjoint(CONTEXT[kind]), not near.isdisjoint(AGAINST.get(kind, ()))
     return round(min(1.0, max(0.0, BASE_SCORE[kind] + STEP * (up - down))), 2)
 
