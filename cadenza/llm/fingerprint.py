@@ -2,23 +2,26 @@
 
 A document's paragraphs (lines) are hashed, each with its occurrence number, and
 every key is added to three cells of a sketch: a count, an XOR of keys and a sum of
-check values.  The cells of two versions are subtracted; what is left holds only the
-paragraphs that differ, which peeling recovers one pure cell at a time.  If peeling
-stops early, both sketches are built again twice as large, until it succeeds.  All
-documents of a block are peeled together with array operations.
-
-The likeness of two versions is the Jaccard similarity of their key sets, exact,
-as the recovered difference and the sizes give it.
-
-Rules for odd input: a null or empty text has one empty paragraph; ids are ordered
-ascending, equal ids by text (a null first), and the last is followed by the first;
-one row alone follows itself; an empty table gives an empty result; other columns
-are not read.
+check values.  The fingerprint is that sketch, with the number of keys, as base64; it
+can be read back (``decoded``) and subtracted from another.  What is left of two
+versions holds only the paragraphs that differ, which peeling recovers one pure cell at
+a time.  If peeling stops early, both documents give sketches ``GROWTH`` times as large,
+until it succeeds.  All documents of a block are peeled together with array operations.
+
+The likeness of two versions is the Jaccard similarity of their key sets, as the
+recovered digests and the numbers of keys give it.
+
+Rules for odd input: a null or empty text has one empty paragraph; a very long text is a
+block of its own; ids are ordered ascending, nulls first, equal ids by text (a null
+first), and the last is followed by the first; one row alone follows itself; repeated
+rows follow each other; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+import base64
 import hashlib
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -28,9 +31,8 @@ from pyspark.sql import functions as F
 from .textcore import BYTE_KEY, U64, WORD_BASE, Texts, mix, powers
 from .workspace import bounded_batches, parallelism
 
-CELLS, HASHES, GROWTH, SALT = 8, 3, 4, 0x51ED270B7A14F0C3
-#: Cells of the fingerprint that is returned (as a digest of all of them).
-PRINT_CELLS = 24
+#: Cells of a fingerprint, cells of a key, and growth of the sketch on failure.
+CELLS, HASHES, GROWTH, SALT = 24, 3, 4, 0x51ED270B7A14F0C3
 
 
 def paragraph_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -69,82 +71,128 @@ def check(keys: np.ndarray) -> np.ndarray:
     return mix(keys ^ U64(0xC2B2AE3D27D4EB4F))
 
 
-def sketch(keys: np.ndarray, at: np.ndarray, size: int, cells: list[np.ndarray], sign: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts, XORs of keys and sums of check values; ``at``: each key's first cell, ``sign``: +1 or -1."""
-    count, xor, total = np.zeros(size, np.int64), np.zeros(size, U64), np.zeros(size, U64)
-    add = check(keys) * sign.astype(np.int64).view(U64)
-    for c in cells:
+class Sketches(NamedTuple):
+    """Sketches of equal size, a row each: number of keys, and by cell counts, XORs of keys and sums of check values."""
+
+    keys: np.ndarray
+    count: np.ndarray
+    xor: np.ndarray
+    total: np.ndarray
+
+    def take(self, rows) -> Sketches:
+        return Sketches(*(x[rows] for x in self))
+
+    def minus(self, other: Sketches) -> Sketches:
+        return Sketches(self.keys - other.keys, self.count - other.count, self.xor ^ other.xor, self.total - other.total)
+
+
+def sketched(keys: np.ndarray, first: np.ndarray, level: int = 0) -> Sketches:
+    """A sketch of each set ``keys[first[i]:first[i + 1]]``."""
+    n, size, many = len(first) - 1, CELLS * GROWTH**level, np.diff(first)
+    keys = keys[first[0] : first[-1]]
+    at = np.repeat(np.arange(n) * size, many)
+    count, xor, total = np.zeros(n * size, np.int64), np.zeros(n * size, U64), np.zeros(n * size, U64)
+    add = check(keys)
+    for c in cells_of(keys, np.int64(size), level):
         where = at + c
-        count += np.bincount(where, sign, size).astype(np.int64)
+        count += np.bincount(where, minlength=n * size)
         order = np.argsort(where, kind="stable")
         w = where[order]
         if len(w):
             heads = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]]))
             xor[w[heads]] ^= np.bitwise_xor.reduceat(keys[order], heads)
             total[w[heads]] += np.add.reduceat(add[order], heads)
-    return count, xor, total
-
-
-def peel(keys_a: np.ndarray, first_a: np.ndarray, keys_b: np.ndarray, first_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each pair of key sets: keys only in a, keys only in b, and the cells that were enough."""
-    n = len(first_a) - 1
-    only_a, only_b, enough = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
+    return Sketches(many, count.reshape(n, size), xor.reshape(n, size), total.reshape(n, size))
+
+
+def peel(given: Sketches, level: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Keys recovered from subtracted sketches: row, key and sign (1: only in the first); and which rows were emptied."""
+    n, size = given.count.shape
+    count, xor, total = (x.copy().reshape(-1) for x in given[1:])
+    rows, keys, signs = [np.zeros(0, np.int64)], [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    live = np.flatnonzero(np.abs(count) == 1)
+    while len(live):
+        live = live[np.abs(count[live]) == 1]
+        s = count[live]
+        pure = total[live] == check(xor[live]) * s.view(U64)
+        r, k, s = live[pure] // size, xor[live[pure]], s[pure]
+        if not len(r):
+            break
+        order = np.lexsort((k, r))
+        r, k, s = r[order], k[order], s[order]
+        one = np.concatenate([[True], (r[1:] != r[:-1]) | (k[1:] != k[:-1])])
+        r, k, s = r[one], k[one], s[one]
+        rows.append(r)
+        keys.append(k)
+        signs.append(s)
+        add = check(k) * (-s).view(U64)
+        spots = [r * size + spot for spot in cells_of(k, np.int64(size), level)]
+        for where in spots:
+            np.add.at(count, where, -s)
+            np.bitwise_xor.at(xor, where, k)
+            np.add.at(total, where, add)
+        live = np.unique(np.concatenate(spots))
+    left = (count.reshape(n, size) != 0).any(1) | (xor.reshape(n, size) != 0).any(1) | (total.reshape(n, size) != 0).any(1)
+    return np.concatenate(rows), np.concatenate(keys), np.concatenate(signs), ~left
+
+
+class Difference(NamedTuple):
+    """Of each pair: likeness, cells that were enough; and all recovered digests with their pair and sign."""
+
+    near: np.ndarray
+    cells: np.ndarray
+    row: np.ndarray
+    key: np.ndarray
+    sign: np.ndarray
+
+    def lists(self, sign: int) -> pa.Array:
+        """Digests of one sign, a list for each pair, ascending."""
+        some = self.sign == sign
+        order = np.lexsort((self.key[some], self.row[some]))
+        row, key = self.row[some][order], self.key[some][order].view(np.int64)
+        return pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(self.near) + 1)), pa.int32()), pa.array(key))
+
+
+def pick(keys: np.ndarray, first: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    many = np.diff(first)[rows]
+    edges = np.concatenate([[0], np.cumsum(many)])
+    return keys[np.repeat(first[rows] - edges[:-1], many) + np.arange(edges[-1])], edges
+
+
+def difference(a: Sketches, b: Sketches, larger) -> Difference:
+    """Compare two versions of each row by their sketches; ``larger(rows, level)`` gives both again, larger, for rows that did not peel."""
+    n = len(a.keys)
+    apart, cells = np.zeros(n, np.int64), np.zeros(n, np.int64)
+    found: list[list[np.ndarray]] = [[], [], []]
     todo, level = np.arange(n), 0
-    while len(todo):
-        size = -(-CELLS * GROWTH**level // HASHES) * HASHES
-        na, nb = np.diff(first_a)[todo], np.diff(first_b)[todo]
-        pick = lambda keys, first, many: keys[np.repeat(first[todo], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)]  # noqa: B023, E731
-        keys = np.concatenate([pick(keys_a, first_a, na), pick(keys_b, first_b, nb)])
-        row = np.concatenate([np.repeat(np.arange(len(todo)), na), np.repeat(np.arange(len(todo)), nb)])
-        sign = np.concatenate([np.ones(na.sum(), np.int64), -np.ones(nb.sum(), np.int64)])
-        count, xor, total = sketch(keys, row * size, len(todo) * size, cells_of(keys, np.int64(size), level), sign)
-        got_a, got_b = np.zeros(len(todo), np.int64), np.zeros(len(todo), np.int64)
-        live = np.flatnonzero(np.abs(count) == 1)
-        while len(live):
-            live = live[np.abs(count[live]) == 1]
-            s = count[live]
-            pure = total[live] == check(xor[live]) * s.view(U64)
-            at, k, s = live[pure], xor[live[pure]], s[pure]
-            if not len(at):
-                break
-            r = at // size
-            _, one = np.unique(np.stack([r.astype(U64), k]), axis=1, return_index=True)
-            r, k, s = r[one], k[one], s[one]
-            got_a += np.bincount(r[s > 0], minlength=len(todo))
-            got_b += np.bincount(r[s < 0], minlength=len(todo))
-            spots = cells_of(k, np.int64(size), level)
-            c, x, t = sketch(k, r * size, len(count), spots, -s) if len(k) * 8 > len(count) else (None, None, None)
-            if c is not None:
-                count, xor, total = count + c, xor ^ x, total + t
-            else:
-                add = check(k) * (-s).view(U64)
-                for spot in spots:
-                    where = r * size + spot
-                    np.add.at(count, where, -s)
-                    np.bitwise_xor.at(xor, where, k)
-                    np.add.at(total, where, add)
-            live = np.unique(np.concatenate([r * size + spot for spot in spots]))
-        left = (count.reshape(len(todo), size) != 0).any(1) | (xor.reshape(len(todo), size) != 0).any(1) | (total.reshape(len(todo), size) != 0).any(1)
-        done = todo[~left]
-        only_a[done], only_b[done], enough[done] = got_a[~left], got_b[~left], size
-        todo, level = todo[left], level + 1
-    return only_a, only_b, enough
-
-
-def likeness(keys_a: np.ndarray, first_a: np.ndarray, keys_b: np.ndarray, first_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Jaccard similarity of the key sets of each pair, and the cells used."""
-    only_a, only_b, cells = peel(keys_a, first_a, keys_b, first_b)
-    na, nb, apart = np.diff(first_a), np.diff(first_b), only_a + only_b
-    return (na + nb - apart) / np.maximum(na + nb + apart, 1), cells
-
-
-def prints(keys: np.ndarray, first: np.ndarray) -> list[str]:
-    """A fingerprint for each key set: a digest of its sketch of PRINT_CELLS cells and its size."""
-    n = len(first) - 1
-    keys, row = keys[: first[-1]], np.repeat(np.arange(n), np.diff(first))
-    count, xor, total = sketch(keys, row * PRINT_CELLS, n * PRINT_CELLS, cells_of(keys, np.int64(PRINT_CELLS), 0), np.ones(len(keys), np.int64))
-    all_cells = np.stack([count.view(U64), xor, total]).reshape(3, n, PRINT_CELLS)
-    return [hashlib.blake2b(all_cells[:, i].tobytes(), digest_size=16).hexdigest() for i in range(n)]
+    x, y = a, b
+    while True:
+        row, key, sign, done = peel(x.minus(y), level)
+        keep = done[row]
+        for out, v in zip(found, (todo[row[keep]], key[keep], sign[keep]), strict=True):
+            out.append(v)
+        cells[todo[done]] = CELLS * GROWTH**level
+        todo, level = todo[~done], level + 1
+        if not len(todo):
+            break
+        x, y = larger(todo, level)
+    row, key, sign = (np.concatenate(v) for v in found)
+    apart = np.bincount(row, minlength=n)
+    both = a.keys + b.keys
+    return Difference((both - apart) / np.maximum(both + apart, 1), cells, row, key, sign)
+
+
+def encoded(s: Sketches) -> list[str]:
+    """Each sketch as base64: number of keys, counts, XORs and sums, little-endian."""
+    parts = np.concatenate([s.keys[:, None].astype("<i8").view("<u8"), s.count.astype("<i8").view("<u8"), s.xor, s.total], axis=1).astype("<u8")
+    return [base64.b64encode(row.tobytes()).decode() for row in parts]
+
+
+def decoded(prints: list[str]) -> Sketches:
+    """Sketches read back from fingerprints."""
+    rows = np.frombuffer(b"".join(map(base64.b64decode, prints)), "<u8").astype(U64).reshape(len(prints), -1)
+    count, xor, total = (x.copy() for x in np.split(rows[:, 1:], 3, axis=1))
+    return Sketches(rows[:, 0].astype(np.int64), count.view(np.int64), xor, total)
 
 
 def edited(text: str, following: str) -> str:
@@ -153,28 +201,38 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+def placed_by(cuts: list[int], column: str):
+    """How many of the ascending ``cuts`` are at most the column, by a search in blocks of their root."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, int(len(cuts) ** 0.5))
+    blocks = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    longs = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    before = F.size(F.filter(longs([b[0] for b in blocks]), lambda c: c <= F.col(column)))
+    inside = F.element_at(F.array(*map(longs, blocks)), F.greatest(before, F.lit(1)))
+    return F.when(F.col(column).isNull() | (before == 0), 0).otherwise((before - 1) * step + F.size(F.filter(inside, lambda c: c <= F.col(column))))
+
+
 def in_turn(docs: DataFrame, parts: int) -> DataFrame:
     """Documents in ascending order within groups ``part``; each group ends with the next one's first document (``extra``)."""
     cuts = docs.approxQuantile("doc_id", [i / parts for i in range(1, parts)], 1 / (10 * parts)) if parts > 1 else []
-    cuts = sorted({int(c) for c in cuts})
-    part = F.lit(0)
-    if cuts:
-        part = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("doc_id")))
-        part = F.coalesce(F.when(F.col("doc_id").isNull(), F.lit(0)).otherwise(part), F.lit(0))
-    placed = docs.withColumn("part", part.cast("int")).withColumn("extra", F.lit(0))
+    placed = docs.withColumn("part", placed_by(sorted({int(c) for c in cuts}), "doc_id").cast("int")).withColumn("extra", F.lit(0))
     heads = placed.groupBy("part").agg(F.min_by(F.struct("doc_id", "text"), F.struct("doc_id", "text")).alias("head"))  # a row for each group
-    turn = heads.select("part", "head", F.lag("part").over(Window.orderBy("part")).alias("before"), F.max("part").over(Window.partitionBy(F.lit(0))).alias("last"))
-    heads = turn.select(F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"), F.coalesce("before", "last").alias("part"), F.lit(1).alias("extra"))
+    there = placed.select("part").distinct()  # at most ``parts`` numbers, in one task; the texts stay where they are
+    turn = there.select(F.col("part").alias("own"), F.lag("part").over(Window.orderBy("part")).alias("before"), F.max("part").over(Window.partitionBy(F.lit(0))).alias("last"))
+    moved = heads.join(F.broadcast(turn), F.col("part") == F.col("own"))
+    heads = moved.select(F.col("head.doc_id").alias("doc_id"), F.col("head.text").alias("text"), F.coalesce("before", "last").alias("part"), F.lit(1).alias("extra"))
     return placed.unionByName(heads)
 
 
-NAMES = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "cells_edited", "cells_next")
-TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64())
+NAMES = ("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "cells_edited", "cells_next", "only_before", "only_edited")
+TYPES = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+COLUMNS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, cells_edited long, cells_next long, only_before array<long>, only_edited array<long>"
 BLOCK_CHARS = 1_000_000
 
 
 def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> DataFrame:
-    """One row per document: fingerprints of it and its edited text, likeness to that and to the next document."""
+    """One row per document: fingerprints of it and its edited text, likeness to that and to the next document, digests that only one version has."""
     bounded_batches(docs.sparkSession)
     picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
     parts = parts or max(1, parallelism(docs.sparkSession))
@@ -186,12 +244,14 @@ def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         n = len(ids)
         new = [edited(a, b) for a, b in zip(texts[:-1], texts[1:], strict=True)]
         keys, first = paragraph_keys(texts)
-        own, nxt = first[: n + 1], first[1:]
         keys_e, first_e = paragraph_keys(new)
-        near_e, cells_e = likeness(keys, own, keys_e, first_e)
-        near_n, cells_n = likeness(keys, own, keys, nxt)
-        columns = [ids, [len(t) for t in texts[:-1]], [hashlib.sha256(t.encode()).hexdigest() for t in new], prints(keys, own), prints(keys_e, first_e), near_e, near_n, cells_e, cells_n]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, TYPES, strict=True)], schema=schema)
+        own, changed = sketched(keys, first), sketched(keys_e, first_e)
+        grown = lambda k, f, rows, level: sketched(*pick(k, f, rows), level)
+        here = own.take(slice(0, n))
+        e = difference(here, changed, lambda rows, level: (grown(keys, first, rows, level), grown(keys_e, first_e, rows, level)))
+        x = difference(here, own.take(slice(1, n + 1)), lambda rows, level: (grown(keys, first, rows, level), grown(keys, first, rows + 1, level)))
+        columns = [ids, [len(t) for t in texts[:-1]], [hashlib.sha256(t.encode()).hexdigest() for t in new], encoded(here), encoded(changed), e.near, x.near, e.cells, x.cells, e.lists(1), e.lists(-1)]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, TYPES, strict=True)], schema=schema)
 
     def run(batches):
         ids, texts, held, own = [], [], 0, None
@@ -209,4 +269,4 @@ def compare_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     texts.append(text)
                     held += len(text)
 
-    return turn.mapInArrow(run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, cells_edited long, cells_next long")
+    return turn.mapInArrow(run, COLUMNS)
