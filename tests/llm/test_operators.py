@@ -148,9 +148,29 @@ def test_op3_fingerprints(docs, empty):
 def test_op3_sketches_grow_until_they_peel():
     rng = np.random.default_rng(3)
     keys = rng.integers(0, 2**63, 900).astype(np.uint64)
-    a, b = keys[:600], keys[300:]
-    only_a, only_b, cells = fingerprint.peel(np.concatenate([a, a]), np.array([0, 600, 1200]), np.concatenate([b, a]), np.array([0, 600, 1200]))
-    assert only_a.tolist() == [300, 0] and only_b.tolist() == [300, 0] and cells[0] > 600 > cells[1]
+    a, b, first = np.concatenate([keys[:600], keys[:600]]), np.concatenate([keys[300:], keys[:600]]), np.array([0, 600, 1200])
+    x, y = fingerprint.sketched(a, first), fingerprint.sketched(b, first)
+    larger = lambda rows, level: tuple(fingerprint.sketched(*fingerprint.pick(k, first, rows), level) for k in (a, b))
+    out = fingerprint.difference(x, y, larger)
+    assert out.lists(1).to_pylist() == [sorted(keys[:300].view(np.int64).tolist()), []] and out.lists(-1).to_pylist() == [sorted(keys[600:].view(np.int64).tolist()), []]
+    assert out.near.tolist() == [300 / 900, 1.0] and out.cells[0] > 600 > out.cells[1]
+
+
+def test_op3_fingerprints_can_be_subtracted(spark):
+    """A few paragraphs that two versions do not share come out of the returned strings alone."""
+    lines = [f"line {i}" for i in range(400)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([*lines[:-3], "a", "b"]))]
+    got = {r.doc_id: r for r in fingerprint.compare_next(spark.createDataFrame(rows, "doc_id long, text string"), parts=1).collect()}
+    a, b = (fingerprint.decoded([got[i].fingerprint]) for i in (1, 2))
+    row, key, sign, done = fingerprint.peel(a.minus(b))
+    assert done.all() and (sign == 1).sum() == 3 and (sign == -1).sum() == 2
+    keys, first = fingerprint.paragraph_keys([t for _, t in rows])
+    assert set(key.tolist()) == set(keys[: first[1]].tolist()) ^ set(keys[first[1] :].tolist())
+    assert math.isclose(got[1].near_next, 397 / 402)
+    edited = rows[0][1][: -(len(rows[0][1]) // 2)] + rows[1][1][: len(rows[0][1]) // 2]
+    mine = fingerprint.paragraph_keys([rows[0][1], edited])
+    one, two = (set(mine[0][mine[1][i] : mine[1][i + 1]].view(np.int64).tolist()) for i in (0, 1))
+    assert set(got[1].only_before) == one - two and set(got[1].only_edited) == two - one
 
 
 def test_op4_quality(spark, empty):
@@ -209,6 +229,9 @@ def test_op5_mixing(docs, empty, spark):
     many = spark.range(300).selectExpr("id as doc_id", "'x' as text", "'s' as source")
     n = mixing.replicate(many, size=2000.0).count()  # a mean above one inversion's limit
     assert abs(n - 600_000) < 5 * math.sqrt(600_000)
+    by_key = mixing.with_rates(docs, mixing.source_rates(docs).selectExpr("source as __source", "rate as __rate"), "source", "doc_id", few=0)
+    assert Counter((r.doc_id, r["__rate"]) for r in by_key.collect()) == Counter((r.doc_id, rates[r.source].rate) for r in docs.collect())
+    assert "__salt" not in by_key.columns
 
 
 def test_op6_bpe(docs, empty):
@@ -339,6 +362,27 @@ def test_op9_pii(spark, docs, empty):
     assert pii.redacted(docs).columns == docs.columns
 
 
+def test_op9_ibans_end_where_their_country_says(spark):
+    found = {
+        "IBAN DE89370400440532013000 BIC COBADEFF": "iban:5:27", "DE89 3704 0044 0532 0130 00 EUR 500": "iban:0:27", "GB82WEST12345698765432 IBAN": "iban:0:22",
+        "XDE89370400440532013000": "", "DE89370400440532013000x": "", "DE88370400440532013000": "", "ZZ89370400440532013000": "",
+    }
+    assert {t: ",".join(x for x in pii.joined(pii.annotate(t)[1]).split(",") if x.startswith("iban")) for t in found} == found
+
+
+def test_op9_context_of_four_languages_and_whole_words():
+    for text in ("Sozialversicherungsnummer 123-45-6789", "numéro de sécurité sociale: 123-45-6789", "seguridad social 123-45-6789", "x Sozialversicherungsnummer lautet wie folgt 123-45-6789"):
+        assert "ssn" in pii.joined(pii.annotate(text)[1]), text
+    for text in ("pieza 123-45-6789", "123-45-6789", "unsocial 123-45-6789"):
+        assert "ssn" not in pii.joined(pii.annotate(text)[1]), text
+
+
+def test_op9_odd_rows(spark):
+    rows = spark.createDataFrame([(None, "a@b.c", "x"), (1, "1" * 200_000 + " 4111111111111111", "x"), (1, "a@b.c", "x"), (1, "a@b.c", "x")], "doc_id long, text string, spans string")
+    got = sorted((r.doc_id or 0, r.n_email, r.n_card, r.spans) for r in pii.detect(rows).collect())
+    assert got == [(0, 1, 0, "email:0:5"), (1, 0, 0, ""), (1, 1, 0, "email:0:5"), (1, 1, 0, "email:0:5")]
+
+
 def test_op10_media(spark, docs, empty):
     for r, t in ((r, r.text) for r in docs.collect()):
         n, payload = media.padded(t)
@@ -352,6 +396,26 @@ def test_op10_media(spark, docs, empty):
     assert media.media_columns(empty).count() == 0
 
 
+def test_op10_gives_back_every_payload():
+    """Marks of tags, tables and frames at all places, and payloads of all sizes."""
+    rng = random.Random(2)
+    for n in [*range(64, 3008, 64), 20_032]:
+        for mark in (b"TAG", b"ID3\x03\x00\x00", b"Xing", b"Info", b"\xff\xfb\x90\x00", b"\xff" * 64):
+            for at in {0, n - 128, n - 64, *(rng.randrange(n) for _ in range(6))}:
+                payload = bytearray(rng.randbytes(n)) if rng.random() < 0.5 else bytearray(n)
+                payload[max(0, at) : max(0, at) + len(mark)] = mark
+                payload = bytes(payload[:n])
+                assert media.parse(media.encode(payload))["payload"] == payload
+
+
+def test_op10_texts_with_marks(spark):
+    texts = ["A TAG " + "x" * 70, "TAGTAG" * 500, "ID3" * 70, "Xing" * 333, "", None, "y" * 300_000]
+    rows = spark.createDataFrame([(i, t, "m") for i, t in enumerate(texts)] + [(None, "TAG" * 90, "m")], "doc_id long, text string, media_bytes string")
+    for r in media.media_columns(rows).collect():
+        n, payload = media.padded("TAG" * 90 if r.doc_id is None else texts[r.doc_id])
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+
+
 def test_op10_resynchronises_after_damage():
     payload = bytes(range(256)) * 20
     data = bytearray(media.encode(payload))
