@@ -86,45 +86,75 @@ def test_op1_substring_dedup(docs, empty):
     assert hashlib.sha256(text.kept_text.encode()).hexdigest() == text.kept_sha256
 
 
+def backoff_model(train):
+    """P(word | history) of a trigram model by plain counters."""
+    grams = [Counter(tuple(("<s>", *t)[k : k + n]) for t in train for k in range(len(t) + 2 - n)) for n in (1, 2, 3)]
+    n, v = sum(map(len, train)), len({w for t in train for w in t})
+    of = lambda h: len(train) if h == ("<s>",) else grams[len(h) - 1][h]
+    state = lambda h: of(h) > 0 if len(h) == 1 else of(h) >= lm.LEAST_CONTEXT
+    met, once = Counter(), Counter()
+    for t in train:
+        t = ("<s>", *t)
+        for k in range(1, len(t)):
+            for m in (1, 2):
+                h = t[max(0, k - m) : k]
+                if len(h) == m and state(h):
+                    met[m, int(math.log2(of(h)))] += 1
+                    once[m, int(math.log2(of(h)))] += grams[m][*h, t[k]] == 1
+
+    def p(h, w):
+        if not h:
+            return (grams[0][(w,)] + 1) / (n + v + 1)
+        if not state(h):
+            return p(h[1:], w)
+        size = len(h), int(math.log2(of(h)))
+        k = min(0.98, max(0.02, once[size] / met[size])) if met[size] else 0.98
+        return (1 - k) * grams[len(h)][*h, w] / of(h) + k * p(h[1:], w)
+
+    return p, grams[0], n, v
+
+
 def test_op2_lm_scores(docs, empty):
     rows = [(r.doc_id, [*WORD.findall(lower(r.text)), None]) for r in docs.collect()]
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d, _ in rows}
-    train = [t for d, t in rows if not held[d]]
-    uni, pair = Counter(w for t in train for w in t), Counter(p for t in train for p in zip(["<s>", *t[:-1]], t, strict=True))
-    n, v = sum(uni.values()), len(uni)
-    context = Counter({w: c for w, c in uni.items() if w is not None}) + Counter({"<s>": len(train)})
-    met, once = Counter(), Counter()
-    for t in train:
-        for p in zip(["<s>", *t[:-1]], t, strict=True):
-            k = int(math.log2(context[p[0]]))
-            met[k] += 1
-            once[k] += pair[p] == 1
-    fail = {k: min(0.98, max(0.02, once[k] / met[k])) for k in met}
-
-    def score(t):
-        total = 0.0
-        for h, w in zip(["<s>", *t[:-1]], t, strict=True):
-            base = (uni[w] + 1) / (n + v + 1)
-            k = fail.get(int(math.log2(context[h])), 0.98) if context[h] else 1.0
-            total += math.log10((1 - k) * pair[h, w] / max(context[h], 1) + k * base)
-        return total
-
-    for size in (chunks.CHUNK, 2500):
-        got = {r.doc_id: r for r in lm.score(docs, chunk=size).collect()}
+    p, uni, n, v = backoff_model([t for d, t in rows if not held[d]])
+    for size, bucket in ((chunks.CHUNK, lm.BUCKET), (2500, 9000)):
+        got = {r.doc_id: r for r in lm.score(docs.withColumnRenamed("lang", "kind"), chunk=size, bucket=bucket).collect()}
         for d, t in rows:
             r = got[d]
-            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(t), sum(uni[w] > 0 for w in t), n)
-            assert math.isclose(r.base_score, sum(math.log10((uni[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
-            assert math.isclose(r.score, score(t), rel_tol=1e-9)
+            assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[d], len(t), sum(uni[(w,)] > 0 for w in t), n)
+            assert math.isclose(r.base_score, sum(math.log10((uni[(w,)] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
+            at = ["<s>", *t]
+            assert math.isclose(r.score, sum(math.log10(p(tuple(at[max(0, k - 2) : k]), at[k])) for k in range(1, len(at))), rel_tol=1e-9)
     assert lm.score(empty).count() == 0
 
 
-def test_op2_probabilities_add_up_to_one():
-    failure = np.linspace(0.3, 0.9, lm.CLASSES)
-    uni = np.array([5, 3, 2, 0])  # the last stands for any unknown word
-    pair = np.array([2, 0, 1, 0])
-    out = 10 ** lm.arcs(np.full(4, 3), uni, pair, failure, int(uni.sum()), 3)
-    assert math.isclose(out.sum(), 1.0)
+def test_op2_without_training_texts_and_without_ids(spark):
+    held = next(d for d in range(100) if zlib.crc32(str(d).encode()) % 7 == 2)
+    got = lm.score(spark.createDataFrame([(held, "a b a b")], "doc_id long, text string")).first()
+    assert (got.held_out, got.n_tokens, got.n_known, got.train_tokens, got.base_score, got.score) == (True, 5, 0, 0, 0.0, 0.0)
+    got = lm.score(spark.createDataFrame([(None, "a"), (None, None)], "doc_id long, text string")).collect()
+    assert sorted((r.held_out, r.n_tokens, r.train_tokens) for r in got) == [(False, 1, 3), (False, 2, 3)]
+
+
+def test_op2_probabilities_of_a_state_add_up_to_one():
+    rng = random.Random(1)
+    train = [[rng.choice("abcdefg") for _ in range(rng.randint(1, 30))] + [None] for _ in range(40)]
+    p, uni, n, v = backoff_model(train)
+    for h in ((), ("<s>",), ("a",), ("a", "b"), ("zz",)):
+        assert math.isclose(sum(p(h, w) for (w,) in uni if w != "<s>") + p(h, "never met"), 1.0)
+
+
+def test_op2_counts_beyond_32_bits():
+    import pyarrow as pa
+
+    values = np.array([5, 9, 2**63 + 1], np.uint64)
+    rows = [r for chunk in (1, 2) for r in lm.by_bucket(chunk, lm.WORD, values, np.array([2**32, 1, 2**40]), None, 1)]
+    out = lm.answer(lm.as_table(rows))
+    assert lm.counts_of(out.slice(0, 1), lm.WORD, np.arange(3)).tolist() == [2**33, 2, 2**41]
+    last = out.slice(2).to_pylist()[0]
+    assert (last["types"], last["tokens"]) == (3, 2**33 + 2 + 2**41)
+    assert isinstance(out, pa.Table) and (lm.size_class(np.array([2**33, 2**40])) == [33, 40]).all()
 
 
 def test_op3_fingerprints(docs, empty):
