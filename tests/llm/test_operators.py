@@ -86,6 +86,44 @@ def test_op1_substring_dedup(docs, empty):
     assert hashlib.sha256(text.kept_text.encode()).hexdigest() == text.kept_sha256
 
 
+def kept_by_hand(rows):
+    """(id, words, removed, digest) of (id, text) rows."""
+    rows = [(d, WORD.findall(t or "")) for d, t in rows]
+    count = Counter(tuple(w[k : k + 35]) for _, w in rows for k in range(len(w) - 34))
+    for doc, w in rows:
+        gone = {x for k in range(len(w) - 34) if count[tuple(w[k : k + 35])] > 1 for x in range(k, k + 35)}
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        yield doc, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_op1_index_is_added_to_by_a_later_session(spark, docs, tmp_path):
+    rows = [(r.doc_id, r.text) for r in docs.collect()] + [(None, "n " * 40), (None, "n " * 40)]
+    path, size = str(tmp_path / "index"), 3000
+    frame = lambda some, session: session.createDataFrame(some, "doc_id long, text string")
+    with substring.Index.open(spark, path) as index:
+        assert index.add(frame(rows[:30], spark), size) == [0] and index.add(frame(rows[30:50], spark), size, batches=2) == [1, 2]
+        assert sorted(index.runs) == [(0, 1), (2, 2)]
+        old = index.kept()
+        assert Counter(map(tuple, old.collect())) == Counter(kept_by_hand(rows[:50]))
+        names = index.database
+    assert names not in [d.name for d in spark.catalog.listDatabases()]
+    other = spark.newSession()
+    (tmp_path / "index" / "runs" / "run-5-5-4").mkdir()  # what a cut-off run leaves behind
+    with substring.Index.open(other, path) as index:
+        assert sorted(index.runs) == [(0, 1), (2, 2)]
+        assert index.add(frame(rows[50:], other), size) == [3]
+        assert sorted(index.runs) == [(0, 3)]
+        want = list(kept_by_hand(rows))
+        assert Counter(map(tuple, index.kept().collect())) == Counter(want)
+        assert Counter(map(tuple, index.kept([3]).collect())) == Counter(want[50:])
+
+
+def test_op1_heavy_keys_are_joined_like_others(spark, docs, monkeypatch):
+    monkeypatch.setattr(substring, "HEAVY_ROWS", 2)
+    got = Counter(map(tuple, substring.dedup(docs, chunk=3000).collect()))
+    assert got == Counter(kept_by_hand([(r.doc_id, r.text) for r in docs.collect()]))
+
+
 def backoff_model(train):
     """P(word | history) of a trigram model by plain counters."""
     grams = [Counter(tuple(("<s>", *t)[k : k + n]) for t in train for k in range(len(t) + 2 - n)) for n in (1, 2, 3)]
