@@ -1,30 +1,43 @@
 """N-gram Jaccard self-join by partitioning the universe of shingles.
 
-Sets that differ in at most H elements, cut by a hash of the element into M > H
-segments, agree on at least M - H whole segments (pigeonhole).  Sizes fall into bands
-of ratio 5/4; each band has its own H and M, and a set is indexed in its own band and
-in the next, where it may be the smaller partner.
-
-* An indexed segment is the hash of the sum of its elements' hashes.  A set must share
-  at least ``need`` = M - h - (its empty segments) of them with other sets, h being the
-  most by which a partner of its size can differ; all others drop out before any pair
-  is formed.  So a passage that many documents share makes no candidates by itself.
-* Bands with H <= 1 index the whole set and its one-deletion neighbourhood instead
-  (allocation by cost: few signatures, and no empty segments).
-* A set whose empty segments alone could reach M - h may agree with another such set on
-  empty segments only; these also index the first fifth of their elements in hash order
-  (prefix filter), so that no pair is lost.
+Sets that differ in at most H elements, cut by a hash of the element into M segments,
+agree on whole segments if M > H, and differ in at most one element of some segment if
+2 M > H (pigeonhole).  Sizes fall into bands of ratio 5/4; each band has its own H, and a
+set is indexed in its own band and in the next, where it may be the smaller partner.  A
+band's plan is the cheaper of two (``allocation``; cost: signatures of a set, and how often
+segments as short as the plan's meet by chance):
+
+* Whole segments, H * SPREAD + 2 of them.  An indexed segment is the hash of the sum of its
+  elements' hashes.  A set must share at least ``need`` = M - h - (its empty segments) of
+  them with other sets, h being the most by which a partner of its size can differ; all
+  others drop out before any pair is formed.  So a passage that many documents share makes
+  no candidates by itself.
+* Few segments, H // 2 + 1 of them, each with its one-deletion neighbourhood.
+
+A set whose empty segments alone could reach M - h (or, of the second plan, one with a
+segment of at most one element) may agree with another such set there only; these also
+index the first fifth of their elements in hash order (prefix filter), so that no pair is
+lost.
 
 Documents of equal sets are one class from the start.  Documents that share a segment
-form a list.  First one pivot of each list is verified, exactly, against the others.  What
-is then left of a list in more than one component is dealt in blocks of at most CROWD
-documents; a pair of blocks that have a list in common is one task, which counts shared
-segments by array operations and verifies only pairs of different components that share
-as many as they need.  Links inside a component need no check, and no pair is ever a row.
+form a list.  A pivot of each list is verified, exactly, against the others, ``ROUNDS`` times
+with other pivots in the lists that lie in more than one component still.  What is then left
+is dealt in blocks of at most CROWD documents; a pair of blocks that have a list in common is
+one task, which counts shared segments by array operations and verifies only pairs of
+different components that share as many as they need.  Links inside a component need no
+check, and no pair is ever a row.  A list of N documents that no pivot joins makes
+(N / CROWD) ** 2 / 2 such tasks: that part grows with the square of lists of texts which are
+alike in many segments without being near copies.
+
+Sets are compared by 64-bit hashes of their shingles, and sets of equal 64-bit keys are one
+class: of 10^9 different sets two share a key with a chance of 3 %.
 
 Rules for odd input: a null or empty text, or one without words, has the empty set and
-its own id as component; fewer words than five are one shingle; repeated rows are equal
-documents; an empty table gives an empty result; other columns are not read.
+its own id as component; fewer words than five are one shingle; very long texts are
+compared whole; repeated rows are equal documents, and rows of one id but different texts
+are documents of their own; a row of null id links like any other, and its component is
+the least id that it reaches, null if there is none; an empty table gives an empty result;
+other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,8 +46,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .components import components
+from .skew import looked_up
 from .textcore import U64, Texts, Words, mix, powers, segment_sum
 from .workspace import Workspace, bounded_batches, give_back, parallelism
 
@@ -43,8 +58,10 @@ SPREAD = 1.25  # segments of a band: this times its H, and two more
 GROUPS = 8  # parts of a band's segments, for dealing
 OWN, NEXT, PREFIX = 0, 1, 2
 BLOCK = 2 << 20
-STEPS = 2
-CROWD = 512  # documents of a block, in which what pivots leave is compared
+STEPS, ROUNDS = 2, 3
+CHANCE = 16  # cost, in signatures, of a segment that is met by chance always; each element halves that
+BUCKET = 8 << 20  # bytes of text whose segments a bucket holds, about
+CROWD = 256  # documents of a block, in which what pivots leave is compared
 
 
 def bands(largest: int) -> np.ndarray:
@@ -94,6 +111,16 @@ def most_apart(n: np.ndarray, top: np.ndarray) -> np.ndarray:
     return (n + partner) * (100 - SHARE) // (100 + SHARE)
 
 
+def allocation(high: np.ndarray, apart: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """By largest size of a band and its H: number of segments, and whether with one-deletion neighbourhoods."""
+    many = (apart * SPREAD).astype(np.int64) + 2
+    few = apart // 2 + 1
+    whole_cost = many + CHANCE * many * 0.5 ** (high / many)
+    near_cost = few + high + CHANCE * few * 0.5 ** (high / few - 1)
+    near = near_cost < whole_cost
+    return np.where(near, few, many), near
+
+
 def signatures(hashes: np.ndarray, first: np.ndarray, buckets: int) -> tuple[np.ndarray, ...]:
     """Bucket, signature, text and kind of every indexed segment; and by text what its own and next band need."""
     n = np.diff(first)
@@ -108,9 +135,10 @@ def signatures(hashes: np.ndarray, first: np.ndarray, buckets: int) -> tuple[np.
         high = top[np.minimum(plan, len(top) - 1)]
         apart = 2 * high * (100 - SHARE) // (100 + SHARE)
         used = (n > 0) & (apart > 0) & ((kind == OWN) | (n * 100 // SHARE > top[band]))
-        whole = used & (apart <= 1)
-        cut = used & ~whole
-        m = np.where(cut, (apart * SPREAD).astype(np.int64) + 2, whole.astype(np.int64))
+        planned, by_deletion = allocation(high, apart)
+        near = used & by_deletion
+        cut = used & ~by_deletion
+        m = np.where(used, planned, 0)
         base = np.concatenate([[0], np.cumsum(m)])
         live = used[doc]
         d, h = doc[live], hashes[live]
@@ -128,17 +156,18 @@ def signatures(hashes: np.ndarray, first: np.ndarray, buckets: int) -> tuple[np.
 
         def emit(o, num, summed, left, kind=kind, plan=plan, seed=seed, m=m):
             sig = mix(summed ^ mix(seed[o] + (num.astype(U64) << U64(20)) + left.astype(U64)))
-            bucket = (plan[o] * 1009 + num * GROUPS // np.maximum(m[o], 1)) + (sig % U64(max(1, buckets // 512))).astype(np.int64) * 7
+            bucket = (plan[o] * 1009 + num * GROUPS // np.maximum(m[o], 1)) + (sig % U64(max(1, buckets // 64))).astype(np.int64) * 7
             out.append((bucket % buckets, sig, o, np.full(len(o), kind)))
 
         emit(owner[full], number[full], total[full], size[full])
-        if whole.any():
-            one = whole[d]
-            emit(d[one], np.zeros(one.sum(), np.int64), total[cell[one]] - value[one], size[cell[one]] - 1)
+        one = near[d] & (size[cell] > 1)
+        if one.any():
+            emit(d[one], segment[one], total[cell[one]] - value[one], size[cell[one]] - 1)
         empty = np.bincount(owner[size == 0], minlength=len(n))
         own_need = m - most_apart(n, high) - empty
         scarce |= cut & (own_need < 1)
-        need[kind] = np.where(whole, 1, np.where(cut, np.maximum(own_need, 1), 0))
+        scarce |= near & (np.bincount(owner[size < 2], minlength=len(n)) > 0)
+        need[kind] = np.where(near, 1, np.where(cut, np.maximum(own_need, 1), 0))
     if scarce.any():
         rank = np.arange(len(doc)) - first[doc]
         early = scarce[doc] & (rank <= n[doc] - -(-n[doc] * SHARE // 100))
@@ -337,12 +366,35 @@ def crowded(members: DataFrame, texts: DataFrame, space: Workspace) -> DataFrame
     return rows.groupBy("b1", "b2").applyInArrow(run, "a long, b long")
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles and component_id (the least id it reaches by links)."""
-    spark = docs.sparkSession
-    space = Workspace(spark, "ngram-join")
-    picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
-    indexed = space.keep(index(picked, 2 * parallelism(spark)), "index")
+def with_keys(docs: DataFrame, text_col: str, key_col: str, size_col: str) -> DataFrame:
+    """All rows and columns, and the key and size of the text's set."""
+    at = docs.columns.index(text_col)
+    names = [*docs.columns, key_col, size_col]
+
+    def run(batches):
+        for batch in batches:
+            for low, block in Texts.of(batch.column(at)).blocks(BLOCK):
+                hashes, first = shingles(block)
+                added = [pa.array(set_keys(hashes, first).view(np.int64)), pa.array(np.diff(first))]
+                yield pa.RecordBatch.from_arrays([*(c.slice(low, len(block)) for c in batch.columns), *added], names)
+        give_back()
+
+    bounded_batches(docs.sparkSession)
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(key_col, T.LongType()), T.StructField(size_col, T.LongType())]))
+
+
+def texts_of(picked: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A text of each wanted ``key``, found by the least id ``rep`` of its documents (which others may have too)."""
+    ids = wanted.select("rep").distinct()
+    some = picked.join(ids, picked["doc_id"].eqNullSafe(ids["rep"]), "left_semi")
+    return with_keys(some.select("text"), "text", "key", "n").join(wanted.select("key"), "key", "left_semi").select("key", "text").dropDuplicates(["key"])
+
+
+def linked(picked: DataFrame, space: Workspace) -> DataFrame:
+    """A row per document (doc_id, text): doc_id, n, the key of its set, and the component's least id and the key that goes with it."""
+    spark = picked.sparkSession
+    size = picked.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    indexed = space.keep(index(picked, max(2 * parallelism(spark), -(-size // BUCKET))), "index")
     rows = indexed.filter("bucket is null").select("doc_id", "n", "key", "need_own", "need_next")
     classes = space.keep(rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("need_own").alias("need_own"), F.first("need_next").alias("need_next")), "classes")
     # segments of one list lie in several buckets; its members share all of them
@@ -354,31 +406,66 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     # of its shared segments a set can do without the need - 1 most frequent
     met = met.filter("shared >= need").withColumn("kept", F.col("rarer") <= F.col("shared") - F.col("need"))
     met = space.keep(met.select("list", "key", "kind", "segments", "n", "need_own", "need_next", "kept"), "met")
-    kept = met.filter("kept").select("list", "key", "n")
+    kept = met.filter("kept").select("list", "key", "n").distinct()
     heads = kept.groupBy("list").agg(F.min(F.struct("key", "n")).alias("p"), F.count("*").alias("many")).filter("many > 1").select("list", "p")
-    sizes = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * SHARE
-    lists = space.keep(kept.join(heads, "list"), "lists")
-    wanted = lists.select("key").distinct().join(classes, "key").select("key", "rep")
-    texts = space.keep(picked.join(wanted, picked["doc_id"] == wanted["rep"]).select("key", "text").dropDuplicates(["key"]), "texts")
-    pairs = space.keep(lists.filter((F.col("key") != F.col("p.key")) & sizes).select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
+    alike = F.least("n", "p.n") * 100 >= F.greatest("n", "p.n") * SHARE
+    lists = space.keep(looked_up(kept, heads, "list", kept.count()), "lists")
+    texts = space.keep(texts_of(picked, lists.select("key").distinct().join(classes, "key").select("key", "rep")), "texts")
+    pairs = space.keep(lists.filter((F.col("key") != F.col("p.key")) & alike).select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
     links = space.keep(verify(pairs, texts), "links-0")
     roots = components(links, space, "roots-0")
-    placed = lists.select("list", "key").join(roots, lists["key"] == roots["node"], "left").select("list", F.coalesce("root", "key").alias("root"))
-    unresolved = placed.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many")).filter("low != high and many > 2").select("list", "many", F.lit(True).alias("unresolved"))
+    members = kept.count()
+    for k in range(1, ROUNDS):  # other pivots where the first left more than one component
+        spread, unresolved = unresolved_lists(lists, roots)
+        pivot = spread.join(unresolved, "list").groupBy("list").agg(F.min(F.struct(F.xxhash64("key", F.lit(k)).alias("h"), "key", "n", "root")).alias("p"))
+        rest = looked_up(spread, pivot, "list", members).filter((F.col("root") != F.col("p.root")) & alike)
+        pairs = space.keep(rest.select(F.col("p.key").alias("a"), F.col("key").alias("b")).distinct(), f"pairs-{k}")
+        more = space.keep(verify(pairs, texts), f"links-{k}")
+        links = links.unionByName(more)
+        roots = components(links, space, f"roots-{k}")
+    _, unresolved = unresolved_lists(lists, roots)
+    unresolved = unresolved.withColumn("unresolved", F.lit(True))
     busy = lists.join(unresolved, "list").select("key").distinct()
-    members = met.join(busy, "key").join(unresolved, "list", "left").join(roots, F.col("key") == F.col("node"), "left")
-    members = space.keep(members.select("list", "key", "kind", "segments", F.coalesce("root", "key").alias("root"), "n", "need_own", "need_next", "many", (F.col("kept") & F.coalesce("unresolved", F.lit(False))).alias("open")), "members")
-    more = space.keep(crowded(members, texts, space), "links-1")
-    roots = components(links.unionByName(more), space, "roots-1")
+    open_ = met.join(busy, "key").join(unresolved, "list", "left").join(roots, F.col("key") == F.col("node"), "left")
+    open_ = space.keep(open_.select("list", "key", "kind", "segments", F.coalesce("root", "key").alias("root"), "n", "need_own", "need_next", "many", (F.col("kept") & F.coalesce("unresolved", F.lit(False))).alias("open")), "members")
+    links = links.unionByName(space.keep(crowded(open_, texts, space), f"links-{ROUNDS}"))
+    roots = components(links, space, f"roots-{ROUNDS}")
     named = classes.select("key", "rep").join(roots, F.col("key") == F.col("node"), "left").select("key", "rep", F.coalesce("root", "key").alias("root"))
-    least = named.groupBy("root").agg(F.min("rep").alias("component_id"))
-    classed = named.join(least, "root").select("key", "component_id")
-    own_rows = rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("key"))
-    return own_rows.join(classed, "key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    least = named.groupBy("root").agg(F.min(F.struct(F.col("rep").isNull().alias("none"), "rep", "key")).alias("first")).select("root", F.col("first.rep").alias("component_id"), F.col("first.key").alias("first_key"))
+    classed = space.keep(looked_up(named, least, "root", classes.count()).select("key", "component_id", "first_key"), "classed")
+    out = rows.select("doc_id", "n", "key").join(classed, "key", "left")
+    out = space.keep(out.select("doc_id", "n", "key", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "first_key"), "linked")
+    for name in ("index", "classes", "met", "lists", "texts", "members", "placed", "classed", *(f"{x}-{k}" for x in ("links", "pairs", "roots", "near") for k in range(ROUNDS + 1)), "pairs"):
+        space.drop(name)
+    return out
+
+
+def unresolved_lists(lists: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of all lists with their component; and the lists of more than two members in more than one, with their size."""
+    spread = lists.select("list", "key", "n").join(roots, F.col("key") == F.col("node"), "left").select("list", "key", "n", F.coalesce("root", "key").alias("root"))
+    ends = spread.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"))
+    return spread, ends.filter("low != high and many > 2").select("list", "many")
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles and component_id (the least id it reaches by links)."""
+    picked = docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text")
+    return linked(picked, Workspace(docs.sparkSession, "ngram-join")).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The document of least id of each component, with all its columns (one row of an id that repeats)."""
-    kept = join(docs, id_col, text_col).filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    same_id = docs.dropDuplicates([id_col])
-    return same_id.join(kept, same_id[id_col].cast("long") == F.col("__kept"), "left_semi")
+    """One row of each component, with all its columns: of least id (nulls last), then least set key, then least text and other columns.
+
+    Rows without words are linked with nothing, so all of them stay.
+    """
+    names = docs.columns
+    space = Workspace(docs.sparkSession, "ngram-first")
+    found = linked(docs.selectExpr(f"cast(`{id_col}` as long) as doc_id", f"`{text_col}` as text"), space)
+    firsts = found.filter("n > 0 and key = first_key").select("key", "component_id").distinct()
+    keyed = with_keys(docs, text_col, "__key", "__n")
+    same = (keyed["__key"] == firsts["key"]) & keyed[id_col].cast("long").eqNullSafe(firsts["component_id"])
+    some = keyed.filter("__n > 0").join(firsts, same, "left_semi")
+    order = [F.col(f"`{text_col}`"), *(F.col(f"`{f.name}`") for f in docs.schema.fields if isinstance(f.dataType, T.AtomicType) and f.name not in (text_col, id_col))]
+    one = F.row_number().over(Window.partitionBy("__key").orderBy(*order))
+    some = some.withColumn("__place", one).filter("__place = 1").select(*[f"`{c}`" for c in names])
+    return some.unionByName(keyed.filter("__n = 0").select(*[f"`{c}`" for c in names]))

@@ -23,9 +23,8 @@ copies is thus counted, never paired.  Digests are taken over 64-bit hashes of t
 words at the same places share a hash (a chance of 2 ** -64 for a pair of words) or both
 digests collide.
 
-Hashes, blocks and windows that occur very often are joined by broadcasting their keys:
-those that make up at least ``1 / HEAVY_KEYS`` of the rows, hence at most ``HEAVY_KEYS`` of
-them.  No other key is large enough to make its task a slow one.
+Hashes, blocks and windows that occur very often are joined by broadcasting their keys,
+of which there are few (see ``skew``).
 
 Rules for odd input: a null or empty text has no words; a text shorter than a window
 keeps all of its words; a very long text is a chunk of its own; windows are judged on the
@@ -46,13 +45,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .chunks import COLUMNS, ids_of, pack, unpack
+from .skew import kept_in
 from .textcore import U64, Words, mix, powers, inverse, sliding_argmin
 from .workspace import Workspace, delete, parallelism
 
 WINDOW, ANCHOR = 35, 8
 CHUNK = 2 << 20  # of text: the arrays of a chunk take some thirty times that
 BATCHES, FANOUT = 4, 2
-HEAVY_ROWS, HEAVY_KEYS = 10_000, 200_000
 BLOCK_BASE = U64(0xC6A4A7935BD1E995)
 ANCHORS = "hash long, block long, chunk long, place int, low int, high int"
 RUN = re.compile(r"run-(\d+)-(\d+)-(\d+)$")
@@ -124,14 +123,6 @@ def cut_windows(packed: DataFrame, blocks: DataFrame) -> DataFrame:
     return by_chunk(packed, blocks, work, "hash long, window long, chunk long, start int, alone boolean")
 
 
-def kept_in(left: DataFrame, right: DataFrame, keys: list[str], total: int) -> DataFrame:
-    """Rows of ``left`` whose keys are in ``right`` (a row for each, ``n`` of the ``total`` rows have it); heavy keys by broadcast."""
-    least = max(HEAVY_ROWS, total // HEAVY_KEYS)
-    heavy = F.broadcast(right.filter(F.col("n") >= least).select(*keys))  # at most HEAVY_KEYS rows, as their n add up to the total at most
-    rest = left.join(heavy, keys, "left_anti").join(right.filter(F.col("n") < least).select(*keys), keys, "left_semi")
-    return left.join(heavy, keys, "left_semi").unionByName(rest)
-
-
 class Index:
     """Texts, anchors and sorted runs of their hashes in a folder that all executors share."""
 

@@ -12,7 +12,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from cadenza.llm import bpe, chunks, fingerprint, licenses, lm, media, mixing, ngram_join, pii, quality, registry, substring
+from cadenza.llm import bpe, chunks, fingerprint, licenses, lm, media, mixing, ngram_join, pii, quality, registry, skew, substring
 from cadenza.llm.textcore import Texts, Words, sliding_argmin
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -119,7 +119,7 @@ def test_op1_index_is_added_to_by_a_later_session(spark, docs, tmp_path):
 
 
 def test_op1_heavy_keys_are_joined_like_others(spark, docs, monkeypatch):
-    monkeypatch.setattr(substring, "HEAVY_ROWS", 2)
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 2)
     got = Counter(map(tuple, substring.dedup(docs, chunk=3000).collect()))
     assert got == Counter(kept_by_hand([(r.doc_id, r.text) for r in docs.collect()]))
 
@@ -371,6 +371,60 @@ def test_op7_finds_every_link_of_random_sets(spark, seed):
     assert {r.doc_id: r.component_id for r in got.collect()} == want
 
 
+def row_components(rows):
+    """The least id (or None) that each row of (id, text) reaches, rows being documents of their own."""
+    found = components({k: shingle_set(t) for k, (_, t) in enumerate(rows)})
+    return [min((rows[m][0] for m in found if found[m] == found[k] and rows[m][0] is not None), default=None) for k in range(len(rows))]
+
+
+def odd_rows():
+    a, b, c = (" ".join(f"{x}{k}" for k in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, a + " z"), (3, b + " z"), (None, c), (None, c + " y"), (None, None), (None, ""), (7, c + " x"), (8, None), (9, "A " + a[3:]), (9, "other words"), (9, "other  words")]
+    return rows + [(None, "p q r s t u v w"), (None, "p q r s t u v w"), (4, "one two"), (4, "one two")]
+
+
+def test_op7_rows_of_one_id_and_of_none(spark):
+    rows = odd_rows()
+    got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = [(d, len(shingle_set(t)), r if shingle_set(t) else d) for (d, t), r in zip(rows, row_components(rows), strict=True)]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
+def test_op7_keep_first_keeps_a_row_of_each_component(spark):
+    rows = odd_rows()
+    docs = spark.createDataFrame([(d, t, f"l{k}") for k, (d, t) in enumerate(rows)], "doc_id long, text string, key string")
+    kept = [(r.doc_id, r.text) for r in ngram_join.keep_first(docs).collect()]
+    part = components({k: shingle_set(t) for k, (_, t) in enumerate(rows)})
+    of = lambda k: (part[k] if shingle_set(rows[k][1]) else ("blank", k))
+    groups = {}
+    for k in range(len(rows)):
+        groups.setdefault(of(k), []).append(k)
+    assert len(kept) == len(groups)
+    left = list(kept)
+    for members in groups.values():
+        least = min((rows[k][0] is None, rows[k][0] or 0) for k in members)
+        fits = [rows[k] for k in members if (rows[k][0] is None, rows[k][0] or 0) == least and rows[k] in left]
+        left.remove(fits[0])
+    assert not left and ngram_join.keep_first(docs).columns == docs.columns
+
+
+def test_op7_hub_of_copies(spark, monkeypatch):
+    """Thousands of near copies of one text, and heavy keys from a few rows on."""
+    monkeypatch.setattr(skew, "HEAVY_ROWS", 50)
+    base = [f"w{k}" for k in range(120)]
+    rows = [(k, " ".join([*base[: k % 100], f"own{k}", *base[k % 100 + 1 :]])) for k in range(1, 3000)] + [(0, " ".join(base)), (5000, "apart from all others here")]
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()}
+    assert got == {d: 0 if d < 5000 else d for d, _ in rows}
+
+
+def test_op7_plans_are_exact_and_chosen_by_cost():
+    sizes = ngram_join.bands(10_000)[1:]
+    apart = 2 * sizes * 20 // 180
+    m, near = ngram_join.allocation(sizes, apart)
+    assert (2 * m[near] > apart[near]).all() and (m[~near] > apart[~near]).all()
+    assert near[apart == 1].all() and near[apart == 2].any() and not near[apart > 6].any()
+
+
 def test_op8_licenses(spark, empty):
     files = spark.createDataFrame(
         [
