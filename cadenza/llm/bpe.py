@@ -1,16 +1,24 @@
 """Byte-level BPE by recursive queries of an in-process DuckDB, one per worker.
 
-A worker splits texts into pre-token pieces, and encodes only pieces it has not
-met: their token-position rows join the merge table, and each step of a recursive
-query contracts every piece's leftmost pair of least rank, until no pair is left.
-Ordered aggregation turns the final rows into ids, and ids back into bytes.
-
-Pieces longer than ``LONG`` bytes would take as many steps as they have bytes; they
-go through the same rule with a heap instead, so that their cost stays n log n.
-
-Rules for odd input: a null or empty text has no tokens; lone rows of any length
-are encoded whole; repeated rows each get a result; an empty table gives an empty
-result; columns other than the id and the text are not read.
+A worker splits texts into pre-token pieces, and pieces into words where no token of the
+vocabulary can reach across (no two-byte token there, and none that has the three bytes
+around the place), so that no merge ever could.  Words it has not met become
+token-position rows, which join the merge table; each step of a recursive query contracts
+every word's pair of least rank, the leftmost first, until no pair is left.  A step takes
+all places of that least rank, from left to right, that do not overlap: a merge cannot
+make a pair of lower rank than its own, unless its token is ``risky`` (some merge with it
+ranks lower than itself); of those a step takes the leftmost place only.  So the steps are
+as many as a word has different ranks, not bytes, and words of any length go one way.
+
+Ordered aggregation turns the final rows into ids, and each document's ids, joined with
+the token table, into its bytes.
+
+A piece that is one token as it stands is that token, as in the library.  The memo of
+pieces and words met changes speed and memory only.
+
+Rules for odd input: a null or empty text has no tokens; texts and pieces of any length
+are encoded whole; rows of null id and repeated rows each get a result; an empty table
+gives an empty result; columns other than the id and the text are not read.
 """
 
 from __future__ import annotations
@@ -18,7 +26,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import heapq
+import os
 
 import duckdb
 import numpy as np
@@ -28,30 +36,51 @@ from pyspark.sql import DataFrame
 
 from .workspace import bounded_batches, give_back
 
-LONG = 400
 BLOCK_CHARS = 2_000_000
+WORD_BYTES = 500_000  # of new words in a query
 MEMO, SMALL_MEMO = 400_000, 60_000  # pieces of a generation; the one before is kept too, and what is met again moves on
 
-#: A token-position row is one number: piece, position and id, in that order of significance.
-POS_BITS, ID_BITS = 12, 20
-CONTRACT = """
+#: A token-position row is one number: word, position and id, in that order of significance.
+ID_BITS = 20
+ID_MASK = (1 << ID_BITS) - 1
+#: {word} is the number of bits below the word's own.
+CONTRACT = f"""
 WITH RECURSIVE step(v, depth) AS (
   SELECT v, 0 FROM start
   UNION ALL (
     WITH pairs AS (
-      SELECT v, lead(v) OVER (ORDER BY v) AS w FROM step
-    ), best AS (
-      SELECT v >> 32 AS piece, min((m.merged << 24) | (((v >> 20) & 4095) << 12) | ((w >> 20) & 4095)) AS key
-      FROM pairs p JOIN merges m ON (((v & 1048575) << 20) | (w & 1048575)) = m.pair
-      WHERE (v >> 32) = (w >> 32) GROUP BY v >> 32
+      SELECT v, lead(v) OVER o AS w, lag(v) OVER o AS before, lead(v, 2) OVER o AS after, row_number() OVER o AS place FROM step WINDOW o AS (ORDER BY v)
+    ), ranked AS (
+      SELECT p.*, merged, risky FROM pairs p JOIN merges ON (((v & {ID_MASK}) << {ID_BITS}) | (w & {ID_MASK})) = pair WHERE (v >> {{word}}) = (w >> {{word}})
+    ), least AS (
+      SELECT v >> {{word}} AS word, min(merged) AS merged FROM ranked GROUP BY v >> {{word}}
+    ), met AS (
+      SELECT r.*, place - row_number() OVER (ORDER BY v) AS run FROM ranked r JOIN least l ON (r.v >> {{word}}) = l.word AND r.merged = l.merged
+    ), apart AS (
+      SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY run ORDER BY v) % 2 = 1
+    ), beside AS (
+      SELECT v, merged, risky, after, CASE WHEN lag(place) OVER (ORDER BY v) = place - 2 THEN (before >> {ID_BITS} << {ID_BITS}) | merged ELSE before END AS before FROM apart
+    ), sharp AS (
+      SELECT v >> {{word}} AS word, min(v) AS stop FROM (
+        SELECT v, merged, ((before & {ID_MASK}) << {ID_BITS}) | merged AS pair FROM beside WHERE risky AND (before >> {{word}}) = (v >> {{word}})
+        UNION ALL SELECT v, merged, (merged << {ID_BITS}) | (after & {ID_MASK}) FROM beside WHERE risky AND (after >> {{word}}) = (v >> {{word}})
+      ) a JOIN merges m ON m.pair = a.pair WHERE m.merged < a.merged
+      GROUP BY v >> {{word}}
+    ), taken AS (
+      SELECT v, w, merged FROM apart LEFT JOIN sharp ON (v >> {{word}}) = word WHERE stop IS NULL OR v <= stop
     )
-    SELECT CASE WHEN ((s.v >> 20) & 4095) = ((b.key >> 12) & 4095) THEN ((s.v >> 20) << 20) | (b.key >> 24) ELSE s.v END, s.depth + 1
-    FROM step s JOIN best b ON (s.v >> 32) = b.piece WHERE ((s.v >> 20) & 4095) <> (b.key & 4095)
+    SELECT CASE WHEN t.v IS NULL THEN s.v ELSE ((s.v >> {ID_BITS}) << {ID_BITS}) | t.merged END, s.depth + 1
+    FROM step s SEMI JOIN least l ON (s.v >> {{word}}) = l.word LEFT JOIN taken t ON s.v = t.v ANTI JOIN taken u ON s.v = u.w
   )
-), done AS (SELECT v >> 32 AS piece, max(depth) AS depth FROM step GROUP BY v >> 32)
-SELECT (s.v >> 32)::INTEGER AS piece, string_agg(t.txt, ',' ORDER BY s.v) AS ids, count(*) AS n, string_agg(t.hex, '' ORDER BY s.v) AS hex
-FROM step s JOIN done d ON (s.v >> 32) = d.piece AND s.depth = d.depth JOIN tokens t ON (s.v & 1048575) = t.id GROUP BY s.v >> 32 ORDER BY 1
+), done AS (SELECT v >> {{word}} AS word, max(depth) AS depth FROM step GROUP BY v >> {{word}})
+SELECT (s.v >> {{word}})::INTEGER AS word, list((s.v & {ID_MASK})::INTEGER ORDER BY s.v) AS ids
+FROM step s JOIN done d ON (s.v >> {{word}}) = d.word AND s.depth = d.depth GROUP BY s.v >> {{word}} ORDER BY 1
 """
+#: Bytes stand as the characters of the same number, from 256 on.
+DECODE = "SELECT doc, array_to_string(list(txt ORDER BY pos), '') AS txt FROM given_ids JOIN tokens USING (id) GROUP BY doc ORDER BY doc"
+
+
+ABOVE = {b: 256 + b for b in range(256)}
 
 
 @functools.lru_cache(2)
@@ -65,70 +94,85 @@ class Codec:
 
     def __init__(self, path: str, pattern: str, most: int = MEMO):
         self.most = most
-        self.ranks = vocabulary(path)
-        self.token = {i: b for b, i in self.ranks.items()}
+        self.ranks = ranks = vocabulary(path)
         self.split = regex.compile(pattern).findall
-        self.memo: dict[str, tuple[str, int, bytes]] = {}
-        self.before: dict[str, tuple[str, int, bytes]] = {}
-        self.byte_id = np.array([self.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        ranks = self.ranks
+        self.memo: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         left, right, merged = (np.array(x, np.int64) for x in zip(*merges, strict=True))
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "128MB", "preserve_insertion_order": False})
-        given = pa.table({"pair": left << ID_BITS | right, "merged": merged})  # noqa: F841 (read by name)
-        tokens = pa.table({"id": pa.array(list(self.token), pa.int64()), "txt": list(map(str, self.token)), "hex": [b.hex() for b in self.token.values()]})  # noqa: F841
+        risky = np.union1d(left[merged < left], right[merged < right])
+        self.pairs = np.zeros(1 << 16, dtype=bool)
+        self.pairs[[t[0] << 8 | t[1] for t in ranks if len(t) == 2]] = True
+        self.triples = np.zeros(1 << 24, dtype=bool)
+        self.triples[list({t[k] << 16 | t[k + 1] << 8 | t[k + 2] for t in ranks for k in range(len(t) - 2)})] = True
+        config = {"threads": 1, "memory_limit": "128MB", "preserve_insertion_order": False, "temp_directory": f"{os.environ.get('SPARK_LOCAL_DIRS', '/tmp').split(',')[0]}/duckdb-{os.getpid()}"}
+        self.db = duckdb.connect(config=config)  # spills where Spark's workers do
+        given = pa.table({"pair": left << ID_BITS | right, "merged": merged, "risky": np.isin(merged, risky)})  # noqa: F841 (read by name)
+        tokens = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "txt": [b.decode("latin-1").translate(ABOVE) for b in ranks]})  # noqa: F841
         self.db.execute("CREATE TABLE merges AS FROM given; CREATE TABLE tokens AS FROM tokens")
 
+    def cut(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All bytes, where a new word begins among them, and where each piece does."""
+        length = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        first = np.cumsum(length) - length
+        x = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int32)
+        piece = np.repeat(np.arange(len(pieces)), length)
+        reach = np.zeros(len(x) + 1, dtype=bool)  # a token may reach across the left edge of a byte
+        if len(x) > 1:
+            reach[1:-1] = self.pairs[x[:-1] << 8 | x[1:]]
+        if len(x) > 2:
+            three = self.triples[x[:-2] << 16 | x[1:-1] << 8 | x[2:]] & (piece[:-2] == piece[2:])
+            reach[1:-2] |= three
+            reach[2:-1] |= three
+        begins = ~reach[:-1]
+        begins[first] = True
+        return x, np.flatnonzero(begins), first
+
     def learn(self, pieces: list[str]) -> None:
-        """Encode and decode pieces that are not in the memo."""
-        short, raw = [], []
-        for p in pieces:
-            b = p.encode()
-            if (whole := self.ranks.get(b)) is not None:
-                self.memo[p] = (str(whole), 1, self.token[whole])
-            elif len(b) > LONG:
-                ids = self.contract_long(b)
-                self.memo[p] = (",".join(map(str, ids)), len(ids), b"".join(self.token[i] for i in ids))
-            else:
-                short.append(p)
-                raw.append(b)
-        for at in range(0, len(short), 20_000):
-            some = raw[at : at + 20_000]
-            lengths = np.fromiter(map(len, some), np.int64, len(some))
-            data = np.frombuffer(b"".join(some), np.uint8)
-            places = np.arange(len(data)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            start = pa.table({"v": np.repeat(np.arange(len(some)), lengths) << (POS_BITS + ID_BITS) | places << ID_BITS | self.byte_id[data]})
-            self.db.register("start", start)
-            for piece, ids, n, text in self.db.execute(CONTRACT).fetchall():
-                self.memo[short[at + piece]] = (ids, n, bytes.fromhex(text))
-
-    def contract_long(self, piece: bytes) -> list[int]:
-        """The same contraction for one long piece: a heap of (rank, place) over a linked list."""
-        ids: list[int | None] = [self.ranks[piece[i : i + 1]] for i in range(len(piece))]
-        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
-
-        def rank(i: int) -> int | None:
-            j = after[i]
-            return self.ranks.get(self.token[ids[i]] + self.token[ids[j]]) if j < len(ids) else None
-
-        heap = [(r, i) for i in range(len(ids)) if (r := rank(i)) is not None]
-        heapq.heapify(heap)
-        while heap:
-            r, i = heapq.heappop(heap)
-            if ids[i] is None or rank(i) != r:
-                continue
-            j = after[i]
-            ids[i], ids[j] = r, None
-            after[i] = after[j]
-            if after[i] < len(ids):
-                before[after[i]] = i
-            for k in (before[i], i):
-                if k >= 0 and (s := rank(k)) is not None:
-                    heapq.heappush(heap, (s, k))
-        return [i for i in ids if i is not None]
-
-    def run(self, texts: list[str]) -> list[list[tuple[str, int, bytes]]]:
-        """For each text its pieces' ids (as text), their number, and the bytes the ids decode to."""
+        """Encode pieces that are not in the memo."""
+        raw = [p.encode() for p in pieces]
+        data = b"".join(raw)
+        _, starts, first = self.cut(raw)
+        edges = [*starts.tolist(), len(data)]
+        own = np.searchsorted(starts, [*first.tolist(), len(data)]).tolist()
+        if len(self.words) > self.most:
+            self.words = {}
+        words = self.words
+        cut = [[r] if r in self.ranks else [data[edges[k] : edges[k + 1]] for k in range(lo, hi)] for r, lo, hi in zip(raw, own[:-1], own[1:], strict=True)]
+        new = sorted(set().union(*cut).difference(words))
+        some: list[bytes] = []
+        held = 0
+        for w in new:
+            if some and held + len(w) > WORD_BYTES:
+                self.contract(some)
+                some, held = [], 0
+            some.append(w)
+            held += len(w)
+        if some:
+            self.contract(some)
+        for p, parts in zip(pieces, cut, strict=True):
+            self.memo[p] = b"".join([words[w] for w in parts])
+
+    def contract(self, words: list[bytes]) -> None:
+        """Ids of new words, by the recursive query."""
+        whole = np.fromiter((self.ranks.get(w, -1) for w in words), np.int64, len(words))
+        lengths = np.where(whole >= 0, 1, np.fromiter(map(len, words), np.int64, len(words)))
+        places = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        ids = np.repeat(whole, lengths)
+        ids[ids < 0] = self.byte_id[np.frombuffer(b"".join(w for w, i in zip(words, whole.tolist(), strict=True) if i < 0), np.uint8)]
+        below = ID_BITS + int(lengths.max()).bit_length()
+        self.db.register("start", pa.table({"v": np.repeat(np.arange(len(words)), lengths) << below | places << ID_BITS | ids}))
+        out = self.db.sql(CONTRACT.format(word=below)).to_arrow_table().combine_chunks()
+        found = out.column("ids").combine_chunks()
+        flat = found.flatten().to_numpy().astype(np.int32).tobytes()
+        edge = (found.offsets.to_numpy() * 4).tolist()
+        for w, lo, hi in zip(out.column("word").to_pylist(), edge[:-1], edge[1:], strict=True):
+            self.words[words[w]] = flat[lo:hi]
+
+    def run(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
         split = [self.split(t) for t in texts]
         if len(self.memo) > self.most:
             self.before, self.memo = self.memo, {}
@@ -137,13 +181,17 @@ class Codec:
         memo.update({p: before[p] for p in new.intersection(before)})
         if new := new.difference(memo):
             self.learn(sorted(new))
-        return [[memo[p] for p in pieces] for pieces in split]
+        return [np.frombuffer(b"".join([memo[p] for p in pieces]), np.int32) for pieces in split]
 
-    def decode(self, ids: list[int]) -> bytes:
-        """Bytes of ids in order, by ordered aggregation."""
-        given = pa.table({"pos": pa.array(range(len(ids)), pa.int64()), "id": pa.array(ids, pa.int32())})
-        self.db.register("given_ids", given)
-        return bytes.fromhex(self.db.execute("SELECT coalesce(string_agg(t.hex, '' ORDER BY g.pos), '') FROM given_ids g JOIN tokens t USING (id)").fetchall()[0][0])
+    def decode(self, documents: list[np.ndarray]) -> list[bytes]:
+        """Bytes of each document's ids in order, by ordered aggregation."""
+        sizes = [len(d) for d in documents]
+        flat = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int32)
+        self.db.register("given_ids", pa.table({"doc": np.repeat(np.arange(len(documents), dtype=np.int32), sizes), "pos": np.arange(len(flat)), "id": flat}))
+        out = [b""] * len(documents)
+        for doc, txt in self.db.execute(DECODE).fetchall():
+            out[doc] = txt.encode("utf-16-le")[::2]
+        return out
 
 
 @functools.lru_cache(1)
@@ -175,10 +223,9 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
         for batch in batches:
             for at, some in groups(batch.column(1)):
                 found = codec.run(some)
-                n = [sum(x[1] for x in pieces) for pieces in found]
-                ids = [hashlib.sha256(",".join([x[0] for x in pieces]).encode()).hexdigest() for pieces in found]
-                back = [hashlib.sha256(b"".join([x[2] for x in pieces])).hexdigest() for pieces in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], schema=schema)
+                ids = [hashlib.sha256(",".join(map(str, d.tolist())).encode()).hexdigest() for d in found]
+                back = [hashlib.sha256(b).hexdigest() for b in codec.decode(found)]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), pa.array([len(d) for d in found], pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], schema=schema)
         give_back()
 
     bounded_batches(docs.sparkSession)
@@ -202,10 +249,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, text_col: str = "text", id
         for batch in batches:
             for at, some in groups(batch.column(at_text)):
                 found = codec.run(some)
-                joined = [",".join([x[0] for x in pieces if x[0]]) for pieces in found]
-                flat = np.array(",".join([j for j in joined if j]).split(",") if any(joined) else [], dtype=np.int32)
-                sizes = np.cumsum([0, *(sum(x[1] for x in pieces) for pieces in found)]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(flat, pa.int32()))
+                sizes = np.cumsum([0, *map(len, found)]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(some)) for c in batch.columns), ids], [*names, ids_col])
         codec_of.cache_clear()
         del codec

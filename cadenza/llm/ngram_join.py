@@ -435,7 +435,7 @@ def linked(picked: DataFrame, space: Workspace) -> DataFrame:
     classed = space.keep(looked_up(named, least, "root", classes.count()).select("key", "component_id", "first_key"), "classed")
     out = rows.select("doc_id", "n", "key").join(classed, "key", "left")
     out = space.keep(out.select("doc_id", "n", "key", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), "first_key"), "linked")
-    for name in ("index", "classes", "met", "lists", "texts", "members", "placed", "classed", *(f"{x}-{k}" for x in ("links", "pairs", "roots", "near") for k in range(ROUNDS + 1)), "pairs"):
+    for name in ("index", "classes", "met", "lists", "texts", "placed", "classed", *(f"{x}-{k}" for x in ("links", "pairs", "roots", "near") for k in range(ROUNDS + 1)), "pairs"):
         space.drop(name)
     return out
 

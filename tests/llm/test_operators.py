@@ -313,11 +313,36 @@ def test_op6_bpe(docs, empty):
     got = bpe.encode_digests(docs, PATH, public_tokenizers.PATTERN).collect()
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got) == want
     assert bpe.encode_digests(empty, PATH, public_tokenizers.PATTERN).count() == 0
+    clash = docs.limit(3).withColumnRenamed("lang", "n_tokens").selectExpr("cast(null as long) as doc_id", "text", "n_tokens")
+    assert [r.doc_id for r in bpe.encode_digests(clash, PATH, public_tokenizers.PATTERN).collect()] == [None] * 3
     own = bpe.encoded(docs, PATH, public_tokenizers.PATTERN)
     codec = bpe.codec_of(PATH, public_tokenizers.PATTERN)
     for r in own.filter("doc_id % 7 = 0").collect():
         assert r.token_ids == enc.encode_ordinary(r.text or "")
-        assert codec.decode(r.token_ids) == (r.text or "").encode()
+        assert codec.decode([np.array(r.token_ids, np.int32)]) == [(r.text or "").encode()]
+
+
+def test_op6_pieces_of_all_lengths_go_one_way():
+    codec = bpe.Codec(PATH, public_tokenizers.PATTERN)
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.vocabulary(PATH), special_tokens={})
+    rng = random.Random(4)
+    alphabets = ("a", "ab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "=-_*#", " ", "éüß", "漢字語文本", "ที่การ", "0")
+    texts = ["".join(rng.choice(letters) for _ in range(n)) for letters in alphabets for n in (*range(1, 40), 399, 401, 4097, 20_000)] + ["ab" * 50_000, "a" * 100_000, "x\x00y"]
+    texts += ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(3, 30))) for _ in range(3000)]
+    found = codec.run(texts)
+    assert all(d.tolist() == enc.encode_ordinary(t) for t, d in zip(texts, found, strict=True))
+    assert codec.decode(found) == [t.encode() for t in texts]
+    assert codec.decode([found[1][:0], found[2]]) == [b"", texts[2].encode()]
+
+
+def test_op6_no_token_reaches_across_a_cut():
+    codec = bpe.Codec(PATH, public_tokenizers.PATTERN)
+    ranks = bpe.vocabulary(PATH)
+    pieces = [t.encode() for t in ("xqzjkvw", "漢字語", "hello", "qqqq")]
+    data, starts, first = codec.cut(pieces)
+    text = data.astype(np.uint8).tobytes()
+    for s in set(starts) - set(first):
+        assert not any(text[a:b] in ranks for a in range(max(0, s - 12), s) for b in range(s + 1, s + 12) if not any(a < f < b for f in first))
 
 
 def components(sets: dict) -> dict:
