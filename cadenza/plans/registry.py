@@ -616,15 +616,12 @@ def q_single_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transcript.single_share(ST.words(spark, sf_dir))
 
 
-@query(Q.with_(_WORDS) + "SELECT clip_id, count(*)::BIGINT AS n, round(sum(t), 3) AS total FROM (SELECT clip_id, start + (\"end\" - start) / length(word) * k AS t FROM wd, range(0, 60) r(k) WHERE k < length(word)) GROUP BY clip_id")
+@query(Q.with_(_WORDS) + "SELECT clip_id, count(*)::BIGINT AS n, round(sum(t), 3) AS total FROM (SELECT clip_id, start + (\"end\" - start) / length(word) * k AS t FROM (SELECT *, unnest(range(0, length(word))) AS k FROM wd)) GROUP BY clip_id")
 def q_char_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X4."""
     return transcript.char_stream(ST.words(spark, sf_dir)).groupBy("clip_id").agg(F.count("*").alias("n"), F.round(F.sum("t"), 3).alias("total"))
 
 
-ORACLES["q_char_stream"] = ORACLES["q_char_stream"].replace("FROM wd, range", "FROM (FROM wd WHERE length(word) <= 60), range")
-
-
 @query("SELECT doc_id, list_sum([CASE WHEN ord(c) > 11903 THEN 1.0 ELSE 0.5 END FOR c IN string_split(text, '')])::DOUBLE AS width FROM documents WHERE text <> ''")
 def q_display_width(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X13."""
@@ -638,7 +635,7 @@ def q_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", F.size("u").alias("n"), F.coalesce(F.array_max(F.transform("u", F.char_length)), F.lit(0)).alias("longest"))
 
 
-_MIX = "mx AS (SELECT conv_id, turn, concat(CASE turn % 4 WHEN 0 THEN '，要点岩, 摇点  DYNO ' WHEN 1 THEN '中心，，在heel-hook上' WHEN 2 THEN '品池 and Beta 换手' ELSE '' END, left(text, 40)) AS t FROM conversations)"
+_MIX = "mx AS (SELECT conv_id, turn, concat(CASE turn % 4 WHEN 0 THEN '，要点岩, 摇点  DYNO ' WHEN 1 THEN '中心，，在heel-hook上' WHEN 2 THEN '品池 and Beta 换手' ELSE '' END, text) AS t FROM conversations)"
 
 
 def _mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -677,13 +674,13 @@ def q_srt_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def q_resegment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X10 to X18."""
-    return transcript.resegment(ST.words(spark, sf_dir))
+    return transcript.resegment_clips(ST.spoken(spark, sf_dir))
 
 
 @query()
 def q_captions_srt(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRT documents of all clips."""
-    return transcript.srt(transcript.captions(transcript.resegment(ST.words(spark, sf_dir))))
+    return transcript.srt(transcript.captions(transcript.resegment_clips(ST.spoken(spark, sf_dir))))
 
 
 @query()
@@ -703,7 +700,7 @@ def q_unit_times(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.regroup(s)
 
 
-@query("SELECT conv_id, left(array_to_string(regexp_extract_all(array_to_string(list_sort(list_distinct(string_split(left(t, 200), ' '))), '、'), '[A-Za-z0-9一-鿿]+'), ' '), 400) AS hot FROM (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS t FROM conversations GROUP BY conv_id)")
+@query("SELECT conv_id, left(array_to_string(regexp_extract_all(array_to_string(list_sort(list_distinct(string_split(t, ' '))), '、'), '[A-Za-z0-9一-鿿]+'), ' '), 400) AS hot FROM (SELECT conv_id, string_agg(text, ' ' ORDER BY turn) AS t FROM conversations GROUP BY conv_id)")
 def q_hotwords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X24."""
     c = ST.table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda v: v["text"]), " ").alias("t"))

@@ -36,19 +36,23 @@ def clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames(spark, sf_dir).select("clip_id").distinct().withColumn("fps", F.lit(FPS))
 
 
-_analysed: dict[tuple[str, str], DataFrame] = {}
+def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Analysed frames."""
+    return pose.analyse(frames(spark, sf_dir), clips(spark, sf_dir), contact=CONTACT)
 
 
-def analysed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Analysed frames; computed once for a session and table, as many queries start from them."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _analysed:
-        _analysed[key] = pose.analyse(frames(spark, sf_dir), clips(spark, sf_dir), contact=CONTACT).persist()
-    return _analysed[key]
+def spoken(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of a document as one clip: three tenths of a second each, a pause after every eleventh."""
+    def timed(word, pos):
+        start = 0.3 * pos + F.floor(pos / 11)
+        return F.struct(pos.alias("pos"), word.alias("word"), start.alias("start"), (start + 0.25).alias("end"))
+
+    listed = F.filter(F.split("text", r"\s+"), lambda w: w != "")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("clip_id"), F.transform(listed, timed).alias("words"))
 
 
 def words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Words of the documents at three tenths of a second each, a pause after every eleventh."""
-    df = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("clip_id"), F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("pos", "word"))
-    start = 0.3 * F.col("pos") + F.floor(F.col("pos") / 11)
-    return df.select("clip_id", "pos", "word", start.alias("start"), (start + 0.25).alias("end"))
+    """The same, a row for each word."""
+    return spoken(spark, sf_dir).select("clip_id", F.inline("words"))
+
+

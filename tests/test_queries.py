@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from cadenza.plans import registry
+from cadenza.plans import registry, standin
 
 D = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -21,6 +21,16 @@ def db():
     return con
 
 
+@pytest.fixture(scope="module", autouse=True)
+def analysed_once(spark):
+    """Many queries start from the analysed frames; these tests work them out once."""
+    once = standin.analysed(spark, D).persist()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(standin, "analysed", lambda *_: once)
+        yield
+    once.unpersist()
+
+
 def rows(df: pd.DataFrame) -> list:
     def plain(v):
         if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
@@ -38,6 +48,13 @@ def test_counterpart(spark, db, name):
     assert rows(got.toPandas()) == rows(db.execute(registry.ORACLES[name]).df())
 
 
+#: No vector moves like a climber, so some detectors find nothing in the general tables; synthetic clips test them.
+MAY_BE_EMPTY = {"q_tech_events", "q_tech_from_time", "q_technique_counts"}
+
+
 @pytest.mark.parametrize("name", sorted(set(registry.QUERIES) - set(registry.ORACLES)))
 def test_query_runs(spark, name):
-    assert registry.QUERIES[name](spark, D).columns
+    got = registry.QUERIES[name](spark, D)
+    rows = got.collect()
+    assert rows or name in MAY_BE_EMPTY
+    assert all(len(r) == len(got.columns) for r in rows)
