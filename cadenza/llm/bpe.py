@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from .workspace import bounded_batches, give_back
 
 BLOCK_CHARS = 2_000_000
-WORD_BYTES = 500_000  # of new words in a query
+WORD_BYTES = 250_000  # of new words in a query
 MEMO, SMALL_MEMO = 400_000, 60_000  # pieces of a generation; the one before is kept too, and what is met again moves on
 
 #: A token-position row is one number: word, position and id, in that order of significance.
@@ -99,6 +99,7 @@ class Codec:
         self.memo: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
         self.words: dict[bytes, bytes] = {}
+        self.names = {i: str(i) for i in ranks.values()}
         self.byte_id = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
         merges = [(ranks[t[:k]], ranks[t[k:]], i) for t, i in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
         left, right, merged = (np.array(x, np.int64) for x in zip(*merges, strict=True))
@@ -140,22 +141,25 @@ class Codec:
         if len(self.words) > self.most:
             self.words = {}
         words = self.words
-        cut = [[r] if r in self.ranks else [data[edges[k] : edges[k + 1]] for k in range(lo, hi)] for r, lo, hi in zip(raw, own[:-1], own[1:], strict=True)]
-        new = sorted(set().union(*cut).difference(words))
+        cut = {k: [data[edges[w] : edges[w + 1]] for w in range(own[k], own[k + 1])] for k, r in enumerate(raw) if own[k + 1] - own[k] > 1 and r not in self.ranks}
+        parts = set().union(*cut.values())
+        alone = {}  # pieces that are one word are kept in the memo of pieces only
+        new = sorted(parts.difference(words).union(r for k, r in enumerate(raw) if k not in cut))
         some: list[bytes] = []
         held = 0
         for w in new:
             if some and held + len(w) > WORD_BYTES:
-                self.contract(some)
+                alone.update(self.contract(some))
                 some, held = [], 0
             some.append(w)
             held += len(w)
         if some:
-            self.contract(some)
-        for p, parts in zip(pieces, cut, strict=True):
-            self.memo[p] = b"".join([words[w] for w in parts])
+            alone.update(self.contract(some))
+        words.update((w, alone[w]) for w in parts if w in alone)
+        for k, (p, r) in enumerate(zip(pieces, raw, strict=True)):
+            self.memo[p] = b"".join([words[w] for w in cut[k]]) if k in cut else alone[r]
 
-    def contract(self, words: list[bytes]) -> None:
+    def contract(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of new words, by the recursive query."""
         whole = np.fromiter((self.ranks.get(w, -1) for w in words), np.int64, len(words))
         lengths = np.where(whole >= 0, 1, np.fromiter(map(len, words), np.int64, len(words)))
@@ -168,8 +172,7 @@ class Codec:
         found = out.column("ids").combine_chunks()
         flat = found.flatten().to_numpy().astype(np.int32).tobytes()
         edge = (found.offsets.to_numpy() * 4).tolist()
-        for w, lo, hi in zip(out.column("word").to_pylist(), edge[:-1], edge[1:], strict=True):
-            self.words[words[w]] = flat[lo:hi]
+        return {words[w]: flat[lo:hi] for w, lo, hi in zip(out.column("word").to_pylist(), edge[:-1], edge[1:], strict=True)}
 
     def run(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -220,10 +223,11 @@ def encode_digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
     def run(batches):
         codec = codec_of(path, pattern)
+        names = codec.names.__getitem__
         for batch in batches:
             for at, some in groups(batch.column(1)):
                 found = codec.run(some)
-                ids = [hashlib.sha256(",".join(map(str, d.tolist())).encode()).hexdigest() for d in found]
+                ids = [hashlib.sha256(",".join(map(names, d.tolist())).encode()).hexdigest() for d in found]
                 back = [hashlib.sha256(b).hexdigest() for b in codec.decode(found)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(some)), pa.array([len(d) for d in found], pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], schema=schema)
         give_back()
