@@ -10,8 +10,8 @@ make a pair of lower rank than its own, unless its token is ``risky`` (some merg
 ranks lower than itself); of those a step takes the leftmost place only.  So the steps are
 as many as a word has different ranks, not bytes, and words of any length go one way.
 
-Ordered aggregation turns the final rows into ids, and each document's ids, joined with
-the token table, into its bytes.
+A word's rows of its last step, in order of position, are its ids; ordered aggregation
+turns each document's ids, joined with the token table, into its bytes.
 
 A piece that is one token as it stands is that token, as in the library.  The memo of
 pieces and words met changes speed and memory only.
@@ -49,35 +49,37 @@ WITH RECURSIVE step(v, depth) AS (
   SELECT v, 0 FROM start
   UNION ALL (
     WITH pairs AS (
-      SELECT v, lead(v) OVER o AS w, lag(v) OVER o AS before, lead(v, 2) OVER o AS after, row_number() OVER o AS place FROM step WINDOW o AS (ORDER BY v)
+      SELECT v, depth, lead(v) OVER o AS w, lag(v) OVER o AS before, lead(v, 2) OVER o AS after FROM step WINDOW o AS (ORDER BY v)
     ), ranked AS (
       SELECT p.*, merged, risky FROM pairs p JOIN merges ON (((v & {ID_MASK}) << {ID_BITS}) | (w & {ID_MASK})) = pair WHERE (v >> {{word}}) = (w >> {{word}})
     ), least AS (
       SELECT v >> {{word}} AS word, min(merged) AS merged FROM ranked GROUP BY v >> {{word}}
     ), met AS (
-      SELECT r.*, place - row_number() OVER (ORDER BY v) AS run FROM ranked r JOIN least l ON (r.v >> {{word}}) = l.word AND r.merged = l.merged
+      SELECT r.*, lag(w) OVER o AS prior, lead(v) OVER o AS later FROM ranked r JOIN least l ON (r.v >> {{word}}) = l.word AND r.merged = l.merged WINDOW o AS (ORDER BY v)
+    ), runs AS (
+      SELECT *, row_number() OVER (ORDER BY v) AS n FROM met WHERE prior = v OR later = w
     ), apart AS (
-      SELECT * FROM met QUALIFY row_number() OVER (PARTITION BY run ORDER BY v) % 2 = 1
+      SELECT v, w, before, after, depth, merged, risky FROM met WHERE prior IS DISTINCT FROM v AND later IS DISTINCT FROM w
+      UNION ALL SELECT v, w, before, after, depth, merged, risky FROM (SELECT *, n - max(CASE WHEN prior = v THEN 0 ELSE n END) OVER (ORDER BY v) AS place FROM runs) r WHERE place % 2 = 0
     ), beside AS (
-      SELECT v, merged, risky, after, CASE WHEN lag(place) OVER (ORDER BY v) = place - 2 THEN (before >> {ID_BITS} << {ID_BITS}) | merged ELSE before END AS before FROM apart
+      SELECT v, merged, risky, after, CASE WHEN lag(w) OVER (ORDER BY v) = before THEN (before >> {ID_BITS} << {ID_BITS}) | merged ELSE before END AS before FROM apart
     ), sharp AS (
       SELECT v >> {{word}} AS word, min(v) AS stop FROM (
         SELECT v, merged, ((before & {ID_MASK}) << {ID_BITS}) | merged AS pair FROM beside WHERE risky AND (before >> {{word}}) = (v >> {{word}})
         UNION ALL SELECT v, merged, (merged << {ID_BITS}) | (after & {ID_MASK}) FROM beside WHERE risky AND (after >> {{word}}) = (v >> {{word}})
-      ) a JOIN merges m ON m.pair = a.pair WHERE m.merged < a.merged
+      ) a JOIN lower m ON m.pair = a.pair WHERE m.merged < a.merged
       GROUP BY v >> {{word}}
     ), taken AS (
-      SELECT v, w, merged FROM apart LEFT JOIN sharp ON (v >> {{word}}) = word WHERE stop IS NULL OR v <= stop
+      SELECT v, w, depth, merged FROM apart LEFT JOIN sharp ON (v >> {{word}}) = word WHERE stop IS NULL OR v <= stop
     )
-    SELECT CASE WHEN t.v IS NULL THEN s.v ELSE ((s.v >> {ID_BITS}) << {ID_BITS}) | t.merged END, s.depth + 1
-    FROM step s SEMI JOIN least l ON (s.v >> {{word}}) = l.word LEFT JOIN taken t ON s.v = t.v ANTI JOIN taken u ON s.v = u.w
+    SELECT s.v, s.depth + 1 FROM step s SEMI JOIN least l ON (s.v >> {{word}}) = l.word ANTI JOIN (SELECT v FROM taken UNION ALL SELECT w FROM taken) t ON s.v = t.v
+    UNION ALL SELECT ((v >> {ID_BITS}) << {ID_BITS}) | merged, depth + 1 FROM taken
   )
-), done AS (SELECT v >> {{word}} AS word, max(depth) AS depth FROM step GROUP BY v >> {{word}})
-SELECT (s.v >> {{word}})::INTEGER AS word, list((s.v & {ID_MASK})::INTEGER ORDER BY s.v) AS ids
-FROM step s JOIN done d ON (s.v >> {{word}}) = d.word AND s.depth = d.depth GROUP BY s.v >> {{word}} ORDER BY 1
+)
+SELECT v, depth FROM step
 """
 #: Bytes stand as the characters of the same number, from 256 on.
-DECODE = "SELECT doc, array_to_string(list(txt ORDER BY pos), '') AS txt FROM given_ids JOIN tokens USING (id) GROUP BY doc ORDER BY doc"
+DECODE = "SELECT doc, array_to_string(list(txt ORDER BY pos), '') AS txt FROM given_ids JOIN tokens USING (id) GROUP BY doc"
 
 
 ABOVE = {b: 256 + b for b in range(256)}
@@ -112,7 +114,9 @@ class Codec:
         self.db = duckdb.connect(config=config)  # spills where Spark's workers do
         given = pa.table({"pair": left << ID_BITS | right, "merged": merged, "risky": np.isin(merged, risky)})  # noqa: F841 (read by name)
         tokens = pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "txt": [b.decode("latin-1").translate(ABOVE) for b in ranks]})  # noqa: F841
+        self.db.execute("SET disabled_optimizers = 'compressed_materialization,join_filter_pushdown'")  # they cost more than they save on steps this small
         self.db.execute("CREATE TABLE merges AS FROM given; CREATE TABLE tokens AS FROM tokens")
+        self.db.execute(f"CREATE TABLE lower AS SELECT pair, merged FROM merges WHERE merged < greatest(pair >> {ID_BITS}, pair & {ID_MASK})")  # what makes tokens risky
 
     def cut(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All bytes, where a new word begins among them, and where each piece does."""
@@ -168,11 +172,14 @@ class Codec:
         ids[ids < 0] = self.byte_id[np.frombuffer(b"".join(w for w, i in zip(words, whole.tolist(), strict=True) if i < 0), np.uint8)]
         below = ID_BITS + int(lengths.max()).bit_length()
         self.db.register("start", pa.table({"v": np.repeat(np.arange(len(words)), lengths) << below | places << ID_BITS | ids}))
-        out = self.db.sql(CONTRACT.format(word=below)).to_arrow_table().combine_chunks()
-        found = out.column("ids").combine_chunks()
-        flat = found.flatten().to_numpy().astype(np.int32).tobytes()
-        edge = (found.offsets.to_numpy() * 4).tolist()
-        return {words[w]: flat[lo:hi] for w, lo, hi in zip(out.column("word").to_pylist(), edge[:-1], edge[1:], strict=True)}
+        step = self.db.sql(CONTRACT.format(word=below)).to_arrow_table()
+        v, depth = step.column("v").to_numpy(), step.column("depth").to_numpy()
+        last = np.zeros(len(words), depth.dtype)
+        np.maximum.at(last, v >> below, depth)
+        v = np.sort(v[depth == last[v >> below]])  # a word's rows of its last step, in order
+        flat = (v & ID_MASK).astype(np.int32).tobytes()
+        edge = (np.searchsorted(v, np.arange(len(words) + 1) << below) * 4).tolist()
+        return {w: flat[lo:hi] for w, lo, hi in zip(words, edge[:-1], edge[1:], strict=True)}
 
     def run(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
@@ -190,7 +197,7 @@ class Codec:
         """Bytes of each document's ids in order, by ordered aggregation."""
         sizes = [len(d) for d in documents]
         flat = np.concatenate([*documents, np.zeros(0, np.int32)]).astype(np.int32)
-        self.db.register("given_ids", pa.table({"doc": np.repeat(np.arange(len(documents), dtype=np.int32), sizes), "pos": np.arange(len(flat)), "id": flat}))
+        self.db.register("given_ids", pa.table({"doc": np.repeat(np.arange(len(documents), dtype=np.int32), sizes), "pos": np.arange(len(flat), dtype=np.int32), "id": flat}))
         out = [b""] * len(documents)
         for doc, txt in self.db.execute(DECODE).fetchall():
             out[doc] = txt.encode("utf-16-le")[::2]
