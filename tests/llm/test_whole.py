@@ -8,7 +8,7 @@ from .test_operators import components, shingle_set
 
 
 def test_op7_lists_of_several_buckets_are_one(spark, monkeypatch):
-    """Version chains: each version is near its neighbours only; what pivots leave is counted by whole lists."""
+    """Version chains: each version is near its neighbours only; and templates; what pivots leave is counted by whole lists."""
     seen = []
     monkeypatch.setattr(ngram_join, "crowded", lambda members, *rest, f=ngram_join.crowded: (seen.append(members), f(members, *rest))[1])
     rng = random.Random(8)
@@ -16,6 +16,9 @@ def test_op7_lists_of_several_buckets_are_one(spark, monkeypatch):
     for length, step in ((14, 1), (24, 2), (60, 5), (150, 12), (300, 25)):
         words = [str(rng.randrange(10**9)) for _ in range(length + 24 * step)]
         rows += [(len(rows) + k, " ".join(words[k * step : k * step + length])) for k in range(24)]
+    for step in (10, 60):  # templates: all agree in many segments, those of the second in too little to be linked
+        common, words = ([str(rng.randrange(10**9)) for _ in range(n)] for n in (300, 60 + 24 * step))
+        rows += [(len(rows) + k, " ".join([*common, *words[k * step : k * step + 60]])) for k in range(24)]
     want = components({d: shingle_set(t) for d, t in rows})
     got = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: r.component_id for r in got.collect()} == want
