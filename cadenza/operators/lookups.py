@@ -72,5 +72,10 @@ def visible(t: Column, pose_t0: Column, ov_end: Column) -> Column:
 
 
 def clock(t: Column) -> Column:
-    """mm:ss.s"""
-    return F.format_string("%02d:%04.1f", F.floor(t / 60).cast("int"), t - 60 * F.floor(t / 60))
+    """mm:ss.s, tenths rounded from the exact binary value (ties to even) as C does; Java's formats round the shortest decimal digits."""
+    s = t - 60 * F.floor(t / 60)
+    ten = 8 * s + 2 * s
+    rest = 2 * s - (ten - 8 * s)  # 10 s is ten + rest exactly
+    half = ten - F.floor(ten) == 0.5
+    tenths = F.when(half & (rest < 0), F.floor(ten)).when(half & (rest > 0), F.ceil(ten)).otherwise(F.floor(F.rint(ten)))
+    return F.when(t.isNotNull(), F.format_string("%02d:%02d.%d", F.floor(t / 60).cast("int"), F.floor(tenths / 10), tenths % 10))
