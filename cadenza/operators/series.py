@@ -19,6 +19,11 @@ def span(by: By, low: int | None = None, high: int | None = None):
     return w.rowsBetween(Window.unboundedPreceding if low is None else low, Window.unboundedFollowing if high is None else high)
 
 
+def onward(by: By):
+    """From the current row to the end, walked from the end: Spark works out a frame that ends at the end anew for each row, which takes the square of the rows."""
+    return Window.partitionBy(*by).orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+
+
 def order(by: By):
     return Window.partitionBy(*by).orderBy("i")
 
@@ -30,14 +35,14 @@ def number(df: DataFrame, by: By, *keys: str) -> DataFrame:
 
 def fill_gaps(df: DataFrame, by: By, *cols: str, least: int = 2) -> DataFrame:
     """Linear interpolation of nulls over ``i``, flat beyond the ends; a series of fewer than ``least`` values becomes null."""
-    out = df
+    filled = {}
     for c in cols:
         here = F.when(F.col(c).isNotNull(), F.struct("i", F.col(c).cast("double").alias("v")))
-        before, after = F.last(here, ignorenulls=True).over(span(by, None, 0)), F.first(here, ignorenulls=True).over(span(by, 0, None))
+        before, after = F.last(here, ignorenulls=True).over(span(by, None, 0)), F.last(here, ignorenulls=True).over(onward(by))
         lerp = before["v"] + (after["v"] - before["v"]) * (F.col("i") - before["i"]) / (after["i"] - before["i"])
         value = F.when(before.isNull(), after["v"]).when(after.isNull() | (before["i"] == after["i"]), before["v"]).otherwise(lerp)
-        out = out.withColumn(c, F.when(F.count(c).over(Window.partitionBy(*by)) >= least, value))
-    return out
+        filled[c] = F.when(F.count(c).over(Window.partitionBy(*by)) >= least, value)
+    return df.withColumns(filled)
 
 
 def hat(w: int, degree: int = 2) -> np.ndarray:
@@ -60,7 +65,7 @@ def smooth(df: DataFrame, by: By, *cols: str, window: int = 9) -> DataFrame:
     table = F.lit(None)
     for s in sizes:
         table = F.when(w == s, tables[s]).otherwise(table)
-    out = df
+    fits = {}
     for c in cols:
         x = F.coalesce(F.col(c).cast("double"), F.percentile(F.col(c).cast("double"), 0.5).over(whole), F.lit(0.0))
         near = F.collect_list(x).over(span(by, 1 - window, window - 1))
@@ -68,8 +73,8 @@ def smooth(df: DataFrame, by: By, *cols: str, window: int = 9) -> DataFrame:
         low = F.greatest(F.least(F.col("i") - (w / 2).cast("int"), n - w), F.lit(0))
         row = F.get(table, (F.col("i") - low).cast("int"))
         fit = F.aggregate(F.zip_with(F.slice(near, (low - first + 1).cast("int"), w.cast("int")), row, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-        out = out.withColumn(c, F.when(w >= 5, fit).otherwise(x))
-    return out
+        fits[c] = F.when(w >= 5, fit).otherwise(x)
+    return df.withColumns(fits)
 
 
 def clamped(df_by: By, c: Column, k: int) -> Column:

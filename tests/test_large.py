@@ -1,10 +1,11 @@
 """Queries at places and sizes that the small tables do not have."""
 
 import duckdb
+import pytest
 
 from cadenza.plans import registry
 
-from .test_queries import rows
+from .test_queries import D, rows
 
 
 def same_as_sql(spark, folder: str, table: str, name: str) -> list:
@@ -20,3 +21,10 @@ def test_clock_rounds_the_exact_binary_value(spark, tmp_path):
     values = [14.55, 4.85, 24.25, 33.95, 43.65, 111.55, 121.25, 130.95, 140.65, None]
     spark.createDataFrame([(k, k, f"2024-01-01 00:00:{k:02d}", "view", v) for k, v in enumerate(values)], "event_id long, user_id long, ts string, event_type string, value double").selectExpr("event_id", "user_id", "cast(ts as timestamp) as ts", "event_type", "value").write.parquet(str(tmp_path / "events.parquet"))
     same_as_sql(spark, str(tmp_path), "events", "q_frame_lookup")
+
+
+@pytest.mark.parametrize("name", ["q_smooth_pose"])
+def test_no_frame_from_a_row_to_the_end(spark, name):
+    """Spark works such a frame out anew for each row: the square of a clip's frames."""
+    plan = registry.QUERIES[name](spark, D)._jdf.queryExecution().analyzed().toString()
+    assert "currentrow$(), unboundedfollowing$()" not in plan and "windowspecdefinition" in plan
