@@ -24,7 +24,7 @@ def marked(limbs: DataFrame, conf: EpisodeConfig) -> DataFrame:
     broke = F.coalesce(before & ~F.col("on"), F.lit(False)) & (F.coalesce(F.sum(bit).over(S.span(BY, -conf.pre, -1)), F.lit(0)) >= conf.pre_on)
     firm = F.col("on") & (F.sum(bit).over(S.span(BY, 0, conf.land - 1)) >= conf.land_on)
     out = limbs.withColumn("broke", broke).withColumn("firm", F.when(firm, F.col("i")))
-    return out.withColumn("landing", F.min("firm").over(S.span(BY, 0, None)))
+    return out.withColumn("landing", F.min("firm").over(S.onward(BY)))
 
 
 def episodes(limbs: DataFrame, conf: EpisodeConfig = TRANSFER, floor_frames: bool = True) -> DataFrame:

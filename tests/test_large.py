@@ -23,7 +23,7 @@ def test_clock_rounds_the_exact_binary_value(spark, tmp_path):
     same_as_sql(spark, str(tmp_path), "events", "q_frame_lookup")
 
 
-@pytest.mark.parametrize("name", ["q_smooth_pose"])
+@pytest.mark.parametrize("name", ["q_smooth_pose", "q_transfer_events"])
 def test_no_frame_from_a_row_to_the_end(spark, name):
     """Spark works such a frame out anew for each row: the square of a clip's frames."""
     plan = registry.QUERIES[name](spark, D)._jdf.queryExecution().analyzed().toString()
