@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ContactConfig, PoseConfig
@@ -40,6 +40,19 @@ def to_frames(joints: DataFrame) -> DataFrame:
     return joints.groupBy("clip_id", "i").agg(F.transform(ordered, lambda p: G.point(p["x"], p["y"])).alias("kpts"))
 
 
+def body(frames: DataFrame, conf: PoseConfig = PoseConfig()) -> DataFrame:
+    """``to_frames`` of cleaned and smoothed joints, worked out on one row a frame: all joints share the clip's windows, and nothing is unfolded and gathered again."""
+    size = len(JOINTS)
+    empty = F.array().cast("array<struct<x:double,y:double,c:double>>")
+    seen = F.transform(F.coalesce("kpts", empty), lambda p: F.when(F.coalesce(p["c"] >= conf.min_conf, F.lit(False)), p))
+    places = F.sequence(F.lit(0), F.lit(size - 1))
+    values = F.transform(places, lambda j: F.get("seen", j)["x"].cast("double")), F.transform(places, lambda j: F.get("seen", j)["y"].cast("double"))
+    wide = frames.select("clip_id", "i", seen.alias("seen")).select("clip_id", "i", F.concat(*values).alias("v"))
+    filled = S.fill_gaps_each(wide, CLIP, "v", 2 * size).withColumn("v", F.transform("v", lambda x: F.coalesce(x, F.lit(0.0))))
+    smoothed = S.smooth_each(filled, CLIP, "v", conf.smooth_window)
+    return smoothed.select("clip_id", "i", F.transform(places, lambda j: G.point(F.get("v", j), F.get("v", j + size))).alias("kpts"))
+
+
 def body_scale(frames: DataFrame) -> DataFrame:
     """Median torso length, and the hip height of standing, by clip."""
     k = F.col("kpts")
@@ -48,19 +61,20 @@ def body_scale(frames: DataFrame) -> DataFrame:
     return parts.groupBy("clip_id").agg(F.percentile("d", 0.5).alias("torso"), F.percentile("hip_y", 0.9).alias("stand_y"), F.count("*").alias("n_frames"))
 
 
+def with_scale(frames: DataFrame) -> DataFrame:
+    """Each frame with its clip's ``body_scale``, by windows: the frames are worked out once."""
+    k, whole = F.col("kpts"), Window.partitionBy(*CLIP)
+    hips = G.mid(G.joint(k, "lhip"), G.joint(k, "rhip"))
+    parts = frames.withColumns({"__d": G.dist(G.mid(G.joint(k, "lsho"), G.joint(k, "rsho")), hips), "__y": hips["y"]})
+    return parts.withColumns({"torso": F.percentile("__d", 0.5).over(whole), "stand_y": F.percentile("__y", 0.9).over(whole)}).drop("__d", "__y")
+
+
 def contacts(frames: DataFrame, conf: ContactConfig = ContactConfig()) -> DataFrame:
     """``frames`` (with fps and torso) and, for each limb, its filtered speed and whether it is in contact."""
-    out = frames
-    for limb in LIMBS:
-        end = G.joint(F.col("kpts"), LIMB_JOINT[limb])
-        out = out.withColumn(f"{limb}_x", end["x"]).withColumn(f"{limb}_y", end["y"])
-    for limb in LIMBS:
-        out = out.withColumn(f"{limb}_raw", S.speed(CLIP, f"{limb}_x", f"{limb}_y", F.col("fps"), F.col("torso"), conf.speed_reach))
-    for limb in LIMBS:
-        out = out.withColumn(f"{limb}_speed", F.coalesce(S.median5(CLIP, F.col(f"{limb}_raw")), F.lit(99.0)))
-    for limb in LIMBS:
-        v = F.col(f"{limb}_speed")
-        out = out.withColumn(limb, S.latch(CLIP, v < conf.on_t, v > conf.off_t, conf.on_frames, conf.off_frames))
+    out = frames.withColumns({f"{limb}_{v}": G.joint(F.col("kpts"), LIMB_JOINT[limb])[v] for limb in LIMBS for v in "xy"})
+    out = out.withColumns({f"{limb}_raw": S.speed(CLIP, f"{limb}_x", f"{limb}_y", F.col("fps"), F.col("torso"), conf.speed_reach) for limb in LIMBS})
+    out = out.withColumns({f"{limb}_speed": F.coalesce(S.median5(CLIP, F.col(f"{limb}_raw")), F.lit(99.0)) for limb in LIMBS})
+    out = out.withColumns({limb: S.latch(CLIP, F.col(f"{limb}_speed") < conf.on_t, F.col(f"{limb}_speed") > conf.off_t, conf.on_frames, conf.off_frames) for limb in LIMBS})
     return out.drop(*[f"{limb}_{x}" for limb in LIMBS for x in ("x", "y", "raw")])
 
 
@@ -92,9 +106,7 @@ def states(frames: DataFrame) -> DataFrame:
 
 def analyse(frames: DataFrame, clips: DataFrame, pose: PoseConfig = PoseConfig(), contact: ContactConfig = ContactConfig()) -> DataFrame:
     """Analysed frames at full precision (``output`` rounds them)."""
-    body = to_frames(smooth(clean(to_joints(frames, pose)), pose))
-    scale = body_scale(body).drop("n_frames")
-    out = body.join(scale, "clip_id").join(clips.select("clip_id", "fps"), "clip_id")
+    out = with_scale(body(frames, pose)).join(clips.select("clip_id", "fps"), "clip_id")
     k = F.col("kpts")
     hip_y = (G.joint(k, "lhip")["y"] + G.joint(k, "rhip")["y"]) / 2
     out = out.withColumn("com", G.com(k)).withColumn("climbing", hip_y < F.col("stand_y") - pose.climb_rise * F.col("torso"))

@@ -45,6 +45,24 @@ def fill_gaps(df: DataFrame, by: By, *cols: str, least: int = 2) -> DataFrame:
     return df.withColumns(filled)
 
 
+def fill_gaps_each(df: DataFrame, by: By, v: str, size: int, least: int = 2) -> DataFrame:
+    """The same for each element of the arrays of ``size`` in column ``v``: a row for a place, whatever the number of series."""
+    own = [F.get(v, F.lit(k)).cast("double") for k in range(size)]
+    known = lambda w: (F.array(*[F.last(c, ignorenulls=True).over(w) for c in own]), F.array(*[F.last(F.when(c.isNotNull(), F.col("i")), ignorenulls=True).over(w) for c in own]))
+    before, at = known(span(by, None, 0))
+    after, then = known(onward(by))
+    n = F.array(*[F.count(c).over(Window.partitionBy(*by)) for c in own])
+    x = df.withColumns({"__before": before, "__at": at, "__n": n}).withColumns({"__after": after, "__then": then})
+
+    def value(z):
+        lerp = z["before"] + (z["after"] - z["before"]) * (F.col("i") - z["at"]) / (z["then"] - z["at"])
+        return F.when(z["n"] < least, F.lit(None)).when(z["own"].isNotNull(), z["own"]).when(z["at"].isNull(), z["after"]).when(z["then"].isNull(), z["before"]).otherwise(lerp)
+
+    # an array named within the lambda would be built anew for each element
+    zipped = F.arrays_zip(F.col(v).cast("array<double>").alias("own"), *[F.col(f"__{c}").alias(c) for c in ("before", "at", "after", "then", "n")])
+    return x.withColumn(v, F.transform(zipped, value)).drop("__before", "__at", "__after", "__then", "__n")
+
+
 def hat(w: int, degree: int = 2) -> np.ndarray:
     """Row r gives the value at r of the polynomial fitted to w equally spaced values."""
     x = np.vander(np.arange(w) - (w - 1) / 2, degree + 1)
@@ -58,23 +76,39 @@ def smooth(df: DataFrame, by: By, *cols: str, window: int = 9) -> DataFrame:
     null throughout becomes 0, other nulls the median.
     """
     whole = Window.partitionBy(*by)
-    n = F.count("*").over(whole)
-    sizes = [w for w in range(5, window + 1, 2)]
-    w = F.least(F.lit(window), F.when(n % 2 == 1, n).otherwise(n - 1))
-    tables = {s: F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in hat(s)]) for s in sizes}
+    given = [F.coalesce(F.col(c).cast("double"), F.percentile(F.col(c).cast("double"), 0.5).over(whole), F.lit(0.0)) for c in cols]
+    out = smooth_each(df.withColumn("__v", F.array(*given)), by, "__v", window)
+    return out.withColumns({c: F.get("__v", F.lit(k)) for k, c in enumerate(cols)}).drop("__v")
+
+
+def smooth_each(df: DataFrame, by: By, v: str, window: int = 9) -> DataFrame:
+    """The same for each element of the arrays in column ``v``, all of one length and without nulls: a row for a place, whatever the number of series."""
+    n, ordered = F.count("*").over(Window.partitionBy(*by)), order(by)
+    reach = window - 1
+    near = {k: f"__v{k + reach}" for k in range(-reach, reach + 1)}
+    shifted = {near[k]: F.lead(v, k).over(ordered) if k > 0 else F.lag(v, -k).over(ordered) if k < 0 else F.col(v) for k in near}
+    x = df.withColumns(shifted | {"__n": n})
+    n, i = F.col("__n"), F.col("i")
+    w = F.least(F.lit(window), F.when(n % 2 == 1, n).otherwise(n - 1)).cast("int")
     table = F.lit(None)
-    for s in sizes:
-        table = F.when(w == s, tables[s]).otherwise(table)
-    fits = {}
-    for c in cols:
-        x = F.coalesce(F.col(c).cast("double"), F.percentile(F.col(c).cast("double"), 0.5).over(whole), F.lit(0.0))
-        near = F.collect_list(x).over(span(by, 1 - window, window - 1))
-        first = F.greatest(F.col("i") - (window - 1), F.lit(0))
-        low = F.greatest(F.least(F.col("i") - (w / 2).cast("int"), n - w), F.lit(0))
-        row = F.get(table, (F.col("i") - low).cast("int"))
-        fit = F.aggregate(F.zip_with(F.slice(near, (low - first + 1).cast("int"), w.cast("int")), row, lambda a, b: a * b), F.lit(0.0), lambda a, v: a + v)
-        fits[c] = F.when(w >= 5, fit).otherwise(x)
-    return df.withColumns(fits)
+    for s in range(5, window + 1, 2):
+        table = F.when(w == s, F.array(*[F.array(*[F.lit(float(t)) for t in row]) for row in hat(s)])).otherwise(table)
+    half = window // 2
+    weights = [float(t) for t in hat(window)[half]]
+
+    def middle(_, c):
+        parts = [F.get(near[k - half], c) * F.lit(t) for k, t in enumerate(weights)]
+        total = F.lit(0.0)
+        for part in parts:
+            total = total + part
+        return total
+
+    low = F.greatest(F.least(i - (w / 2).cast("int"), n - w), F.lit(0)).cast("int")
+    row = F.get(table, (i - low).cast("int"))
+    rows = F.slice(F.array(*near.values()), (low - i + reach + 1).cast("int"), w)
+    ends = F.transform(v, lambda _, c: F.aggregate(F.zip_with(rows, row, lambda a, t: F.get(a, c) * t), F.lit(0.0), lambda s, t: s + t))
+    inside = (i >= half) & (i < n - half) & (w == window)
+    return x.withColumn(v, F.when(inside, F.transform(v, middle)).when(w >= 5, ends).otherwise(F.col(v))).drop(*[c for c in shifted if c != v], "__n")
 
 
 def clamped(df_by: By, c: Column, k: int) -> Column:
@@ -135,6 +169,22 @@ def boxcar(by: By, mask: Column, width: int, share: float = 0.6) -> Column:
     return ones / F.lit(width) > share
 
 
+def boxcars(df: DataFrame, by: By, bits: str, size: int, width: int, share: float = 0.6) -> DataFrame:
+    """The same for ``size`` masks in the bits of a long, which becomes the smoothed masks' bits."""
+    k = width // 2
+    x = df.withColumn("__near", F.collect_list(bits).over(span(by, -k, k))).withColumn("__n", F.count("*").over(Window.partitionBy(*by)))
+    near = F.col("__near")
+    left, right = F.greatest(F.lit(0), k - F.col("i")).cast("int"), F.greatest(F.lit(0), F.col("i") + k - (F.col("__n") - 1)).cast("int")
+    x = x.withColumn("__near", F.when((left > 0) | (right > 0), F.concat(near, F.slice(near, F.lit(1), left), F.slice(F.reverse(near), F.lit(1), right))).otherwise(near))
+    least = next(m for m in range(width + 2) if m / width > share)
+    ones = lambda mask: F.size(F.filter("__near", lambda v: v.bitwiseAND(F.lit(mask)) != 0))
+    smoothed = F.lit(0).cast("long")
+    for mask in (1 << b for b in range(size)):
+        smoothed = smoothed.bitwiseOR(F.when(ones(mask) >= least, F.lit(mask).cast("long")).otherwise(F.lit(0).cast("long")))
+    none = F.aggregate("__near", F.lit(0).cast("long"), lambda s, v: s.bitwiseOR(v)) == 0
+    return x.withColumn(bits, F.when(none, F.lit(0).cast("long")).otherwise(smoothed)).drop("__near", "__n")
+
+
 def islands(df: DataFrame, by: By, mask: str) -> DataFrame:
     """Runs of true rows: a, b (first and last place) and rows, by series."""
     some = df.filter(F.col(mask)).withColumn("__run", F.col("i") - F.row_number().over(order(by)))

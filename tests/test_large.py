@@ -1,9 +1,12 @@
 """Queries at places and sizes that the small tables do not have."""
 
+import random
+
 import duckdb
 import pytest
 
-from cadenza.plans import registry
+from cadenza.operators import pose
+from cadenza.plans import registry, standin
 
 from .test_queries import D, rows
 
@@ -34,3 +37,22 @@ def test_frames_are_analysed_once(spark):
     """A query that looks at the frames several times reads them as written, and does not work them out again."""
     files = registry.QUERIES["q_transfer_events"](spark, D).inputFiles()
     assert files and not [f for f in files if "embeddings" in f]
+
+
+def test_joints_are_not_unfolded(spark):
+    """All joints of a frame share its row, and no clip is worked out twice for its scale."""
+    plan = pose.analyse(standin.frames(spark, D), standin.clips(spark, D), contact=standin.CONTACT)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" not in plan and plan.count("Relation") == 2
+
+
+def test_frames_with_gaps_equal_their_joints(spark):
+    """Short and long clips, joints seen always, sometimes, once and never, frames without any."""
+    r = random.Random(3)
+    seen = lambda j: j > 3 and (j > 9 or r.random() < 0.6)
+    rows = [(f"c{n}", i, None if r.random() < 0.1 else [(r.random() * 9, r.random() * 9, 0.9 if seen(j) or (j == 2 and i == 1) else 0.1) for j in range(17)]) for n in (1, 2, 3, 4, 5, 6, 8, 9, 10, 40) for i in range(n)]
+    df = spark.createDataFrame(rows, "clip_id string, i int, kpts array<struct<x:double,y:double,c:double>>")
+    want = {(x.clip_id, x.i): x.kpts for x in pose.to_frames(pose.smooth(pose.clean(pose.to_joints(df)))).collect()}
+    got = {(x.clip_id, x.i): x.kpts for x in pose.body(df).collect()}
+    assert len(want) == len(rows) and got.keys() == want.keys()
+    for key in want:
+        assert [v for p in got[key] for v in p] == pytest.approx([v for p in want[key] for v in p], abs=1e-9)
