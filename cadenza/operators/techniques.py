@@ -1,12 +1,14 @@
 """Rule-based technique detection on analysed frames: nine phases and six events.
 
 Phases are masks: predicate, optional set/reset latch, boxcar smoothing, runs of a least
-length; all masks of a clip are unpivoted and share one stage of windows.  Events start
+length; all masks of a clip are bits of one number and share one stage of windows.  Events start
 from contact episodes, breaks or runs, which are few.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -70,11 +72,14 @@ def masks(f: DataFrame, fps: float) -> list[tuple[str, str, Column, float, Colum
 def phases(f: DataFrame, fps: float) -> DataFrame:
     """Phases of all nine kinds (``f``: ``features``)."""
     listed = masks(f, fps)
-    wide = f.select("clip_id", "i", F.array(*[F.struct(F.lit(k).alias("kind"), mask.alias("raw"), measure.cast("double").alias("measure")) for k, (_, _, mask, _, measure, _) in enumerate(listed)]).alias("m"))
-    long = wide.select("clip_id", "i", F.inline("m"))
+    bit = lambda k: F.lit(1 << k).cast("long")
+    raw = [F.when(mask, bit(k)).otherwise(F.lit(0).cast("long")) for k, (_, _, mask, _, _, _) in enumerate(listed)]
+    wide = f.select("clip_id", "i", reduce(lambda a, b: a.bitwiseOR(b), raw).alias("on"), F.array(*[v[4].cast("double") for v in listed]).alias("measures"))
+    wide = S.boxcars(wide, CLIP, "on", len(listed), S.boxcar_width(fps)).filter("on <> 0")
+    kinds = F.filter(F.sequence(F.lit(0), F.lit(len(listed) - 1)), lambda k: F.getbit("on", k) == 1)
+    some = wide.select("clip_id", "i", "measures", F.explode(kinds).alias("kind")).withColumn("measure", F.get("measures", "kind")).drop("measures")
     by = ["clip_id", "kind"]
-    on = long.withColumn("on", S.boxcar(by, F.col("raw"), S.boxcar_width(fps)))
-    some = on.filter("on").withColumn("run", F.col("i") - F.row_number().over(S.order(by)))
+    some = some.withColumn("run", F.col("i") - F.row_number().over(S.order(by)))
     least = F.element_at(F.array(*[F.lit(v[3]) for v in listed]), F.col("kind") + 1)
     spans = some.groupBy(*by, "run").agg(F.min("i").alias("a"), F.max("i").alias("b"), F.count("*").alias("rows"), F.max("measure").alias("top"))
     spans = spans.filter((F.col("rows") >= 3) & (F.col("rows") / fps >= least)).withColumn("sec", (F.col("b") - F.col("a")) / fps)
