@@ -166,15 +166,16 @@ def dyno(f: DataFrame, fps: float) -> DataFrame:
 
 
 def mantle(f: DataFrame, fps: float) -> DataFrame:
-    """Both hands low and elbows bent, then straight with the body risen; not again within a second and a half."""
+    """Both hands low and elbows bent, then straight with the body risen; every bent frame is tried, and none is found again within a second and a half."""
     low = (F.col("lsho.y") + F.col("rsho.y")) / 2 + 0.15 * F.col("T")
     prep = F.col("climbing") & F.col("lh") & F.col("rh") & (F.col("lwr.y") > low) & (F.col("rwr.y") > low) & (F.col("lel_deg") < 115) & (F.col("rel_deg") < 115)
-    third = f.filter(prep).withColumn("rank", F.row_number().over(S.order(CLIP)) - 1).filter("rank % 3 = 0").select("clip_id", F.col("i").alias("a"), F.col("com").alias("a_com"), F.col("T").alias("a_T"))
-    x = within(third, "a", f, int(1.8 * fps), "lel_deg", "rel_deg", "com")
-    done = x.filter((F.col("j_lel_deg") > 150) & (F.col("j_rel_deg") > 150) & ((F.col("a_com.y") - F.col("j_com.y")) / F.col("a_T") >= 0.25)).select("clip_id", "a").distinct()
-    listed = done.groupBy("clip_id").agg(F.array_sort(F.collect_list("a")).alias("steps"))
+    straight = F.when((F.col("lel_deg") > 150) & (F.col("rel_deg") > 150), F.col("com.y"))
+    x = f.select("clip_id", "i", "T", prep.alias("prep"), F.col("com.y").alias("y"), F.min(straight).over(S.span(CLIP, 0, int(1.8 * fps) - 1)).alias("top"))
+    done = x.filter(F.col("prep") & ((F.col("y") - F.col("top")) / F.col("T") >= 0.25))
+    listed = done.groupBy("clip_id").agg(F.array_sort(F.collect_list("i")).alias("steps"))
     start = F.array().cast("array<int>")
-    free = lambda kept, a: ~F.exists(kept, lambda e: F.abs(F.round(e / F.lit(fps), 2) * fps - a) < 1.5 * fps)
+    last = lambda kept: F.round(F.get(kept, F.size(kept) - 1) / F.lit(fps), 2) * fps
+    free = lambda kept, a: F.coalesce(F.abs(last(kept) - a) >= 1.5 * fps, F.lit(True))
     fold = F.aggregate("steps", start, lambda kept, a: F.when(free(kept, a), F.concat(kept, F.array(a))).otherwise(kept))
     return listed.select("clip_id", F.explode(fold).alias("a")).select(*event("mantle", F.col("a") / fps, F.lit(""), F.lit(0.75)))
 

@@ -1,12 +1,14 @@
 """Synthetic clips through the whole engine, and detectors on edited bodies."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from cadenza.config import GateConfig
 from cadenza.operators import episodes, gates, lookups, pose, techniques, timeline, tracking
+from cadenza.plans import registry, standin
 from cadenza.schemas import JOINTS, KP
 from cadenza.sources import documents, sinks
 
@@ -155,6 +157,47 @@ def test_events(spark):
     assert got.count() == 1
 
 
+def mantles(rows, com):
+    """Starts of mantles, each bent frame tried in turn."""
+    found = []
+    for i, pts, hold, elbow, _ in rows:
+        low = (pts[KP["lsho"]][1] + pts[KP["rsho"]][1]) / 2 + 0.15 * T
+        if not (hold["lh"] and hold["rh"] and min(pts[KP["lwr"]][1], pts[KP["rwr"]][1]) > low and elbow < 115):
+            continue
+        if any(abs(round(e / FPS, 2) * FPS - i) < 1.5 * FPS for e in found):
+            continue
+        if any(rows[j][3] > 150 and (com(i)[1] - com(j)[1]) / T >= 0.25 for j in range(i, min(len(rows), i + int(1.8 * FPS)))):
+            found.append(i)
+    return found
+
+
+def test_every_bent_frame_starts_a_mantle(spark):
+    want, clips = [], []
+    for k in range(4):
+        r = random.Random(k)
+        ys, bent, hands = [700.0 + r.choice([0, 0, 20, 40]) for _ in range(500)], [r.choice([100.0, 130.0, 130.0, 130.0, 160.0]) for _ in range(500)], [r.random() < 0.8 for _ in range(500)]
+        rows = still(n=500, elbow=lambda i: bent[i], edit=lambda i: {"lwr": (480, 720), "rwr": (600, 720)}, off=lambda i, limb: limb == "rh" and not hands[i])  # noqa: B023
+        com = lambda i: (540.0, ys[i])  # noqa: B023, E731
+        clips.append(analysed(spark, rows, com).withColumn("clip_id", F.lit(f"c{k}")))
+        want += [(f"c{k}", round(i / FPS, 2)) for i in mantles(rows, com)]
+    f = techniques.features(clips[0].unionByName(clips[1]).unionByName(clips[2]).unionByName(clips[3]))
+    assert len(want) > 20 and sorted((r.clip_id, r.t) for r in techniques.mantle(f, FPS).collect()) == want
+
+
+@pytest.fixture
+def dip(spark, monkeypatch):
+    """The frames of queries: a press that only each third bent frame, from the second on, is low enough for."""
+    press = still(n=60, elbow=lambda i: 100.0 if i < 25 else 160.0, edit=lambda i: {"lwr": (480, 720), "rwr": (600, 720)})
+    a = analysed(spark, press, com=lambda i: (540.0, 680.0 if i >= 25 else 720.0 if i % 3 == 1 else 700.0))
+    a = a.withColumn("state", F.lit("4pt")).withColumn("bd", F.lit(0.0))
+    monkeypatch.setattr(standin, "analysed_once", lambda *_: a)
+
+
+def test_summary_card_of_a_dip(spark, dip):
+    (card,) = registry.QUERIES["q_summary_card"](spark, "").collect()
+    assert (card.n_tech, card.n_kinds) == (2, 2)
+
+
 def test_target_selection(spark):
     def person(y, hip_x, hip_y, c=0.9):
         pts = [[0.0, 0.0, 0.9]] * 17
