@@ -198,6 +198,10 @@ def test_summary_card_of_a_dip(spark, dip):
     assert (card.n_tech, card.n_kinds) == (2, 2)
 
 
+def test_technique_counts_of_a_dip(spark, dip):
+    assert {(r["name"], r.n) for r in registry.QUERIES["q_technique_counts"](spark, "").collect()} == {("straight_arm", 1), ("mantle", 1)}
+
+
 def test_target_selection(spark):
     def person(y, hip_x, hip_y, c=0.9):
         pts = [[0.0, 0.0, 0.9]] * 17
