@@ -1,5 +1,6 @@
 """Synthetic clips through the whole engine, and detectors on edited bodies."""
 
+import json
 import math
 import random
 
@@ -202,6 +203,11 @@ def test_technique_counts_of_a_dip(spark, dip):
     assert {(r["name"], r.n) for r in registry.QUERIES["q_technique_counts"](spark, "").collect()} == {("straight_arm", 1), ("mantle", 1)}
 
 
+def test_technique_json_of_a_dip(spark, dip):
+    (script,) = registry.QUERIES["q_technique_json"](spark, "").collect()
+    assert json.loads(script.body.removeprefix("window.TECH = ").removesuffix(";"))["events"] == [{"t": 0.03, "name": "mantle", "side": "", "conf": 0.75}]
+
+
 def test_target_selection(spark):
     def person(y, hip_x, hip_y, c=0.9):
         pts = [[0.0, 0.0, 0.9]] * 17
